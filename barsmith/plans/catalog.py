@@ -149,17 +149,14 @@ def _simulated(spark, folder):
     return exits.simulate(views.bars(spark, folder))
 
 
-def _exit_columns(valid_only: bool = False) -> list[Column]:
-    bars = [
-        (F.col(c) if valid_only else F.when(F.col("is_valid"), F.col(c))).alias(c)
-        for c in ("long_exit_bar", "short_exit_bar")
-    ]
-    return [F.col("bar_id"), *bars, F.col("long_profit"), F.col("short_profit")]
+_EXITS = ("bar_id", "long_exit_bar", "short_exit_bar", "long_profit", "short_profit")
 
 
 @register
 def exit_profit(spark, folder):
-    return _simulated(spark, folder).select(*_exit_columns(), "is_valid")
+    """Every bar; without a full horizon the exit bars are 0."""
+    bars = {c: F.when(F.col("is_valid"), F.col(c)).otherwise(0) for c in _EXITS[1:3]}
+    return _simulated(spark, folder).withColumns(bars).select(*_EXITS, "is_valid")
 
 
 @register
@@ -176,7 +173,7 @@ def max_excursion(spark, folder):
 @register
 def exit_last_hit(spark, folder):
     out = exits.simulate(views.bars(spark, folder), last_hit=True)
-    return out.where("is_valid").select(*_exit_columns(valid_only=True))
+    return out.where("is_valid").select(*_EXITS)
 
 
 @register
@@ -194,7 +191,7 @@ def asset_join(spark, folder):
     """Five instruments, each with its own money value per point and tick size."""
     bars = readers.join_assets(views.bars_multi(spark, folder), views.assets(spark))
     out = exits.simulate(bars, Rules.joined())
-    return out.where("is_valid").select("symbol", *_exit_columns(valid_only=True))
+    return out.where("is_valid").select("symbol", *_EXITS)
 
 
 # --- splits and labels --------------------------------------------------------------------
@@ -240,7 +237,8 @@ def label_stats(spark, folder):
 
 @register
 def labels_(spark, folder):
-    return labelled(spark, folder).select("bar_id", "split", "label", "rank")
+    return labelled(spark, folder).select(
+        "bar_id", "split", "label", F.coalesce("rank", F.lit(0)).alias("rank"))
 
 
 @register
@@ -418,7 +416,9 @@ def exit_scores_(spark, folder):
 
 @register
 def parse_requests(spark, folder):
-    return exit_scores.parse_requests(views.request_lines(spark, folder)).drop("line")
+    """Fields of every line; lines to quarantine have an error and no bar count (-1)."""
+    parsed = exit_scores.parse_requests(views.request_lines(spark, folder)).drop("line")
+    return parsed.withColumn("BarsSinceTradeEntry", F.coalesce("BarsSinceTradeEntry", F.lit(-1)))
 
 
 # --- streams ------------------------------------------------------------------------------

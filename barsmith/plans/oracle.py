@@ -473,8 +473,8 @@ UNION ALL SELECT "column" || '_lag1', round(mean, 6) + 0.0, round(std, 6) + 0.0
                                       "std_samp": "round(stddev_samp({c}), 5) + 0.0"},
                       f"'{stage}' AS stage, ")
             for stage, t in (("before", "bars"), ("after", "after")))),
-    "exit_profit": with_(SIM, """SELECT bar_id, CASE WHEN is_valid THEN long_exit_bar END AS
-  long_exit_bar, CASE WHEN is_valid THEN short_exit_bar END AS short_exit_bar,
+    "exit_profit": with_(SIM, """SELECT bar_id, CASE WHEN is_valid THEN long_exit_bar ELSE 0 END
+  AS long_exit_bar, CASE WHEN is_valid THEN short_exit_bar ELSE 0 END AS short_exit_bar,
   long_profit, short_profit, is_valid FROM sim"""),
     "exit_profit_clamped": with_(
         SIM, f"SELECT bar_id, {clamped('long')}, {clamped('short')} FROM sim"),
@@ -498,7 +498,7 @@ WHERE bar_id IN (SELECT bar_id FROM sim WHERE is_valid)"""),
   count(*) FILTER (WHERE side = 0) / CAST(count(*) AS DOUBLE) AS long_ratio_data,
   count(*) FILTER (WHERE side = 1) / CAST(count(*) AS DOUBLE) AS short_ratio_data,
   count(side) / CAST(count(*) AS DOUBLE) AS total_trade_ratio FROM candidates GROUP BY split"""),
-    "labels": with_(LABELS, "SELECT bar_id, split, label, rank FROM labelled"),
+    "labels": with_(LABELS, "SELECT bar_id, split, label, coalesce(rank, 0) AS rank FROM labelled"),
     "labels_all": with_(label_steps(40, 1.0, 1.0), "SELECT bar_id, split, label FROM labelled"),
     "labels_top10": with_(label_steps(30, 0.1, 0.1), "SELECT bar_id, split, label FROM labelled"),
     "label_counts": with_(
@@ -591,7 +591,7 @@ FROM requests r LEFT JOIN firsts f ON r.tt = f.tt AND r.td = f.td AND r.bs = f.b
   ELSE concat_ws(' ', 'a.json', 'c.json', tt, td, bs, 'models/es') END AS line FROM requests""",
         "parts": "SELECT request_id, string_split(line, ' ') AS p FROM lines",
     }, """SELECT request_id, p[1] AS json_path, p[2] AS columns_path, p[3] AS "TradeType",
-  p[4] AS "TradeDesignation", TRY_CAST(p[5] AS INT) AS "BarsSinceTradeEntry", p[6] AS model_dir,
+  p[4] AS "TradeDesignation", coalesce(TRY_CAST(p[5] AS INT), -1) AS "BarsSinceTradeEntry", p[6] AS model_dir,
   CASE WHEN len(p) < 6 THEN 'too few fields' WHEN TRY_CAST(p[5] AS INT) IS NULL
     THEN 'bars since entry is not a number' END AS error FROM parts"""),
     "stream_entry": with_(

@@ -13,28 +13,33 @@ from barsmith.config import (
 )
 from barsmith.operators.clean import nan_to_null
 
-KEY_FIELDS = [
-    T.StructField("bar_id", T.LongType()),
-    T.StructField("symbol", T.StringType()),
-]
-
-
-def raw_bar_schema(date_type: T.DataType | None = None) -> T.StructType:
-    return T.StructType(
-        KEY_FIELDS
-        + [T.StructField("Date", date_type or T.TimestampNTZType())]
-        + [T.StructField(c, T.DoubleType()) for c in CONTINUOUS]
-        + [T.StructField(c, T.IntegerType()) for c in CATEGORICAL]
-    )
+_TYPES = {
+    "bar_id": T.LongType(), "symbol": T.StringType(), "Date": T.TimestampNTZType(),
+    **{c: T.DoubleType() for c in CONTINUOUS}, **{c: T.IntegerType() for c in CATEGORICAL},
+}
+
 
+def read_raw_bars(spark: SparkSession, path: str, fmt: str = "parquet", symbol: str = "ES",
+                  text_dates: bool = False) -> DataFrame:
+    """Raw bars from csv (with header), json, parquet or orc, in the contract's types.
 
-def read_raw_bars(spark: SparkSession, path: str, fmt: str = "parquet",
-                  date_type: T.DataType | None = None) -> DataFrame:
-    """Raw bars from csv (with header), json, parquet or orc."""
-    reader = spark.read.schema(raw_bar_schema(date_type)).format(fmt)
+    Files of a single instrument may lack ``symbol``. Without ``bar_id`` rows are numbered in
+    the order of the input splits; write the result once before using it as a key.
+    With ``text_dates`` the date stays text, to be parsed by ``clean.parse_dates``.
+    """
+    types = _TYPES | ({"Date": T.StringType()} if text_dates else {})
+    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
-    return require_columns(nan_to_null(reader.load(path)), ["Date", *INPUT_FEATURES])
+        # Only the header line is read here, for the names and their order.
+        header = spark.read.option("header", True).csv(path).columns
+        reader = reader.option("header", True).option("enforceSchema", False).schema(
+            T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header]))
+    elif fmt == "json":
+        reader = reader.schema(T.StructType([T.StructField(n, t) for n, t in types.items()]))
+    raw = require_columns(reader.load(path), ["Date", *INPUT_FEATURES])
+    keys = {"bar_id": F.monotonically_increasing_id(), "symbol": F.lit(symbol)}
+    raw = raw.withColumns({n: c for n, c in keys.items() if n not in raw.columns})
+    return nan_to_null(raw.select(*[F.col(n).cast(t).alias(n) for n, t in types.items()]))
 
 
 def read_features(spark: SparkSession, path: str, keep: tuple[T.StructField, ...] = ()) -> DataFrame:

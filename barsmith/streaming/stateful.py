@@ -27,7 +27,7 @@ _IDLE_MS = 3_600_000
 
 def _timed(stream: DataFrame, delay: str) -> DataFrame:
     """Watermarks need a zoned time; the session zone is UTC, so the clock stays as it is."""
-    return stream.withColumn("Date", F.col("Date").cast("timestamp")).withWatermark("Date", delay)
+    return stream.withColumn("Date", F.col("Date").cast("timestamp_ltz")).withWatermark("Date", delay)
 
 
 def _sorted(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -87,7 +87,7 @@ def lag_stream(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     timed = _timed(stream.select("bar_id", *DAY_KEYS, "Date", *INPUT_FEATURES), delay)
     return timed.groupBy(*DAY_KEYS).applyInPandasWithState(
         step,
-        f"bar_id long, symbol string, trading_day date, Date timestamp, {outputs}, late boolean",
+        f"bar_id long, symbol string, trading_day date, Date timestamp_ltz, {outputs}, late boolean",
         f"newest long, newest_id long, {remembered}",
         "append",
         GroupStateTimeout.EventTimeTimeout,
@@ -145,7 +145,7 @@ def exit_stream(stream: DataFrame, asset: Asset = Asset(), wait_for_horizon: boo
 
 _TRADE_SCHEMA = (
     "bar_id long, symbol string, trading_day date, Trade_Signal string, "
-    "EntryDateTime timestamp, EntryPrice double, ExitDateTime timestamp, ExitPrice double, "
+    "EntryDateTime timestamp_ltz, EntryPrice double, ExitDateTime timestamp_ltz, ExitPrice double, "
     "BaseProfit double, ExitBar int, ExitReason string, late boolean"
 )
 _TRADE_COLUMNS = [part.split()[0] for part in _TRADE_SCHEMA.split(", ")]
