@@ -56,8 +56,10 @@ def nearest(points: DataFrame, k: int, group: str = "label", key: str = "bar_id"
     target_sizes = {(r["g"], r["cell"]): r["n"] for r in cells}
     radii = {(r["g"], r["cell"]): r["radius"] for r in cells}
 
-    home = materialize(_search(placed.select("g", "id", "x", "cell"), targets, target_sizes, k,
-                               block), "home")
+    home = _search(placed.select("g", "id", "x", "cell"), targets, target_sizes, k, block)
+    if all(len(c) == 1 for c in centres.values()):
+        return _best(home, k, group, key)
+    home = materialize(home, "home")
     bound = home.groupBy("g", "id").agg(
         F.count("nn_id").alias("found"), F.max("distance2").alias("worst"))
     bounded = placed.join(bound, ["g", "id"], "left").select(
@@ -66,6 +68,11 @@ def nearest(points: DataFrame, k: int, group: str = "label", key: str = "bar_id"
     )
     away = materialize(_send(bounded, centres, radii), "sent")
     found = home.unionByName(_search(away, targets, target_sizes, k, block))
+    return _best(found, k, group, key)
+
+
+def _best(found: DataFrame, k: int, group: str, key: str) -> DataFrame:
+    """The k nearest of every point among the bests of the blocks it was searched in."""
     ranked = Window.partitionBy("g", "id").orderBy("distance2", "nn_id")
     best = found.withColumn("nn_rank", F.row_number().over(ranked)).where(F.col("nn_rank") <= k)
     return best.select(
@@ -123,6 +130,8 @@ def _send(bounded: DataFrame, centres: dict, radii: dict) -> DataFrame:
                 can_hold &= np.isfinite(radius)[None, :]
                 can_hold[np.arange(len(own)), own["cell"].to_numpy()] = False
                 row, cell = np.nonzero(can_hold)
+                if not len(row):
+                    continue
                 yield pd.DataFrame({
                     "g": own["g"].to_numpy()[row], "id": own["id"].to_numpy()[row],
                     "x": own["x"].to_numpy()[row], "cell": cell.astype(np.int32),
@@ -158,8 +167,9 @@ def _search(points: DataFrame, targets: DataFrame, target_sizes: dict, k: int,
     right = dealt(targets, "tb", "target_blocks", "pb", "point_blocks")
 
     def best(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        columns = ["g", "id", "nn_id", "distance2", "nn_vector"]
         if mine.empty or theirs.empty:
-            return pd.DataFrame(columns=["g", "id", "nn_id", "distance2", "nn_vector"])
+            return pd.DataFrame(columns=columns, dtype=object)
         theirs = theirs.sort_values("id", kind="stable")
         ids, vectors = theirs["id"].to_numpy(), np.stack(theirs["x"].values)
         out = []
@@ -172,12 +182,16 @@ def _search(points: DataFrame, targets: DataFrame, target_sizes: dict, k: int,
                 at = distances.argmin(axis=1)
                 value = distances[row, at]
                 real = np.isfinite(value)
+                if not real.any():
+                    break
                 out.append(pd.DataFrame({
                     "g": strip["g"].to_numpy()[real], "id": strip["id"].to_numpy()[real],
                     "nn_id": ids[at[real]], "distance2": value[real],
                     "nn_vector": list(vectors[at[real]]),
                 }))
                 distances[row, at] = np.inf
+        if not out:
+            return pd.DataFrame(columns=columns, dtype=object)
         return pd.concat(out, ignore_index=True)
 
     keys = ["g", "cell", "pb", "tb"]

@@ -153,10 +153,10 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
 
 
 def fit_weighted(train: DataFrame, validation: DataFrame, features: list[str],
-                 params: BoostParams = WEIGHTED_TRAINING) -> BoostedModel:
+                 params: BoostParams = WEIGHTED_TRAINING, tolerance: float = 0.01) -> BoostedModel:
     """Balanced weights and early stopping on the validation part."""
     weighted = balance.add_weights(train, balance.class_weights(train))
-    return fit_boosted(weighted, features, params, "weight", validation)
+    return fit_boosted(weighted, features, params, "weight", validation, tolerance)
 
 
 def fit_forest(train: DataFrame, features: list[str],
