@@ -14,9 +14,16 @@ def parse(text: Column, pattern: str) -> Column:
 
 
 def in_window(ts: Column, start: str = WINDOW_START, end: str = WINDOW_END) -> Column:
-    """Time of day between both ends, inclusive, with sub-second precision."""
-    clock = F.date_format(ts, "HH:mm:ss.SSSSSS")
-    return clock.between(f"{start}.000000", f"{end}.000000")
+    """Time of day between both ends, inclusive; a fraction after the end is outside."""
+    second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    whole = F.date_trunc("second", ts) == ts
+    first, last = _seconds(start), _seconds(end)
+    return (second >= first) & ((second < last) | ((second == last) & whole))
+
+
+def _seconds(clock: str) -> int:
+    hours, minutes, seconds = map(int, clock.split(":"))
+    return hours * 3600 + minutes * 60 + seconds
 
 
 def on_bar_mark(ts: Column, seconds: int = BAR_SECONDS) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ class Rules:
     target: Column
     stop: Column
 
+    @cached_property
+    def per_tick(self) -> Column:
+        return self.per_point * self.resolution
+
     @classmethod
     def of(cls, asset: Asset) -> Rules:
         return cls(
@@ -39,7 +44,7 @@ class Rules:
 
     def value(self, move: Column) -> Column:
         """Ticks first, then money: the order decides the last bits of the double."""
-        return (move / self.resolution) * (self.per_point * self.resolution)
+        return (move / self.resolution) * self.per_tick
 
 
 def reward(profit: Column, penalty: Column, decay: float) -> Column:

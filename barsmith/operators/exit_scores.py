@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.operators.lookup import join_small
+
 TRADE_KEY = ("TradeType", "TradeDesignation", "BarsSinceTradeEntry")
 REQUEST_FIELDS = (
     "json_path", "columns_path", "TradeType", "TradeDesignation", "BarsSinceTradeEntry",
@@ -43,7 +45,7 @@ def match_requests(requests: DataFrame, snapshots: DataFrame, predictors: list[s
     """Each request with the predictors of its snapshot; ``found`` is false without one."""
     first = first_snapshots(snapshots.select(*keys, order, *predictors), order, keys)
     right = first.drop(order).withColumn("found", F.lit(True))
-    return requests.join(right, list(keys), "left").withColumn(
+    return join_small(requests, right, list(keys), "left").withColumn(
         "found", F.coalesce("found", F.lit(False)))
 
 
@@ -60,7 +62,7 @@ def map_classes(scored: DataFrame, class_map: DataFrame,
           for name in RED_YELLOW_GREEN],
         F.lit(True).alias("has_model"),
     )
-    joined = scored.join(maps, list(keys), "left")
+    joined = join_small(scored, maps, list(keys), "left")
     usable = F.col("found") & F.col("has_model") & F.col("probabilities").isNotNull()
     triple = [
         F.coalesce(

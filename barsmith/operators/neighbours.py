@@ -26,15 +26,17 @@ from barsmith.session import materialize
 BLOCK = 4096
 MAX_PIVOTS = 1024
 _SLACK = 1e-9
-_STRIP = 256
+_STRIP = 64
 
 
 def _squared(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Squared distances, summed feature by feature in order."""
     total = np.zeros((len(rows), len(others)))
+    diff = np.empty_like(total)
     for d in range(rows.shape[1]):
-        diff = rows[:, d, None] - others[None, :, d]
-        total += diff * diff
+        np.subtract(rows[:, d, None], others[None, :, d], out=diff)
+        diff *= diff
+        total += diff
     return total
 
 

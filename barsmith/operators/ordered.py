@@ -1,12 +1,13 @@
 """Neighbours and positions inside ordered groups of any size.
 
 A plain window holds a whole group in one task. That is the best plan while groups are
-small: one exchange, one sort. ``plan_order`` counts the groups; when one is too large it
-cuts the *whole table* into contiguous slices of the total order ``keys, by``. Cut points
-are rows of a hash sample, so a group holding a third of all rows is spread over a third
-of the slices, and because ``by`` ends in a unique column equal times are split as well.
+small: one exchange, one sort. ``plan_order`` counts the groups; when one is too large the
+total order ``keys, by`` is cut into contiguous slices. Cut points are evenly spaced rows of
+a hash sample of the large groups, and because ``by`` ends in a unique column a group is
+split even when all its rows have the same time.
 
-Cut points are literals of the plan: every re-computed task sees the same slices. Rows that
+Windows then run per group and slice. Cut points are literals of the plan, so a task that is
+computed again after a lost executor sees the same slices. Rows that
 windows need across a cut (at most ``ahead + behind`` per cut) are copied to the slices that
 need them, and positions are the local position plus the rows of earlier slices.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_GROUP_ROWS = 2_000_000
+MAX_SLICES = 20_000
 SAMPLES_PER_SLICE = 20
 _SAMPLE_SPACE = 1 << 40
 _SLICE, _COPY, _RANK = "_slice", "_copy", "_rank"
@@ -97,37 +99,35 @@ def plan_order(
     """Choose between whole groups and slices from the size of the largest group.
 
     One aggregation over the key columns. A second pass over the key and sort columns runs
-    only when a group is too large; it brings about ``20 * slices`` rows to the driver.
+    only when a group is too large; it brings about ``SAMPLES_PER_SLICE * slices`` rows, at
+    most 400 000, to the driver.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    size = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    largest, total = size["largest"] or 0, size["total"] or 0
-    if largest <= max_group_rows:
+    too_large = F.col("n") > max_group_rows
+    crowded = counts.agg(F.sum(F.when(too_large, F.col("n"))).alias("rows")).first()["rows"]
+    if not crowded:
         return RowOrder(tuple(keys), tuple(by))
     if slices is None:
-        slices = max(
-            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            math.ceil(total / max_group_rows),
-        )
-    return RowOrder(tuple(keys), tuple(by), _sample_cuts(df, keys, by, total, slices))
+        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = min(MAX_SLICES, max(parallel, math.ceil(crowded / max(max_group_rows, 1))))
+    large = counts.where(too_large).select(*keys)
+    return RowOrder(tuple(keys), tuple(by), _sample_cuts(df, keys, by, large, crowded, slices))
 
 
-def _sample_cuts(df, keys, by, total: int, slices: int) -> tuple[tuple, ...]:
+def _sample_cuts(df, keys, by, large: DataFrame, crowded: int, slices: int) -> tuple[tuple, ...]:
+    """Evenly spaced rows of a hash sample of the groups that are too large."""
     wanted = SAMPLES_PER_SLICE * slices
-    share = max(1, math.ceil(_SAMPLE_SPACE * min(1.0, wanted / max(total, 1))))
+    share = max(1, math.ceil(_SAMPLE_SPACE * min(1.0, wanted / crowded)))
     columns = [*keys, *by]
     sample = (
         df.select(*columns)
         .where(F.pmod(F.xxhash64(*columns), F.lit(_SAMPLE_SPACE)) < share)
+        .join(large, list(keys), "left_semi")
         .orderBy(*columns)
         .collect()
     )
-    picks = sorted({len(sample) * i // slices for i in range(1, slices)})
-    cuts: list[tuple] = []
-    for i in picks:
-        row = tuple(sample[i]) if i < len(sample) else None
-        if row is not None and (not cuts or cuts[-1] != row):
-            cuts.append(row)
+    picks = sorted({len(sample) * i // slices for i in range(slices)})
+    cuts = dict.fromkeys(tuple(sample[i]) for i in picks if i < len(sample))
     return tuple(cuts)
 
 

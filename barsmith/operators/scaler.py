@@ -32,17 +32,18 @@ def profile(df: DataFrame, columns: list[str] = CONTINUOUS) -> DataFrame:
 def _extreme(name: str, aggregate, factor: float, rsi: float) -> Column:
     if name in PRICES:
         return (aggregate(name) * F.lit(factor)).alias(name)
-    if name == "RSI":
-        return F.lit(rsi).alias(name)
-    return aggregate(name).alias(name)
+    return (F.lit(rsi) if name == "RSI" else aggregate(name)).alias(name)
 
 
 def pad_extremes(df: DataFrame) -> DataFrame:
     """Add a low row (prices -20 %, RSI 0) and a high row (prices +20 %, RSI 100)."""
     base = df.select(*CONTINUOUS)
-    low = base.agg(*[_extreme(c, F.min, 0.8, 0.0) for c in CONTINUOUS])
-    high = base.agg(*[_extreme(c, F.max, 1.2, 100.0) for c in CONTINUOUS])
-    return low.unionByName(base).unionByName(high)
+    ends = [
+        F.struct(*[_extreme(c, aggregate, factor, rsi) for c in CONTINUOUS])
+        for aggregate, factor, rsi in ((F.min, 0.8, 0.0), (F.max, 1.2, 100.0))
+    ]
+    both = base.agg(F.array(*ends).alias("ends")).select(F.inline("ends"))
+    return base.unionByName(both)
 
 
 def describe(df: DataFrame, columns: list[str] = CONTINUOUS) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barsmith.operators.lookup import join_small
+
 
 def validation_starts(df: DataFrame, cutoff: str, train_share: float = 0.8) -> DataFrame:
     """Per symbol the first day of the validation part (null when all days train).
@@ -28,14 +30,14 @@ def validation_starts(df: DataFrame, cutoff: str, train_share: float = 0.8) -> D
 
 
 def add_split(df: DataFrame, cutoff: str, train_share: float = 0.8) -> DataFrame:
-    """Add ``split``: train, val or test. The joined table has one row per symbol."""
+    """Add ``split``: train, val or test. The lookup has one row per symbol."""
     starts = validation_starts(df, cutoff, train_share)
     split = (
         F.when(F.col("Date") >= F.lit(cutoff).cast("timestamp_ntz"), "test")
         .when(F.col("trading_day") >= F.col("validation_start"), "val")
         .otherwise("train")
     )
-    joined = df.join(starts, "symbol", "left")
+    joined = join_small(df, starts, ["symbol"], "left")
     return joined.select(*df.columns, split.alias("split"))
 
 

@@ -98,16 +98,24 @@ def _window_bars(spark, folder):
     return clean.keep_window(views.bars(spark, folder))
 
 
+def _lagged(spark, folder) -> DataFrame:
+    bars, order = views.ordered_bars(spark, folder)
+    return features.add_lags(clean.keep_window(bars), order)
+
+
+def _feature_table(spark, folder) -> DataFrame:
+    bars, order = views.ordered_bars(spark, folder)
+    return features.feature_table(clean.keep_window(bars), keep=("bar_id",), order=order)
+
+
 @register
 def lag_features(spark, folder):
-    lagged = features.add_lags(_window_bars(spark, folder))
-    return lagged.select("bar_id", *[f"{c}_lag1" for c in INPUT_FEATURES])
+    return _lagged(spark, folder).select("bar_id", *[f"{c}_lag1" for c in INPUT_FEATURES])
 
 
 @register
 def onehot(spark, folder):
-    table = features.feature_table(_window_bars(spark, folder), keep=("bar_id",))
-    return table.withColumn("Date", clock("Date"))
+    return _feature_table(spark, folder).withColumn("Date", clock("Date"))
 
 
 @register
@@ -132,7 +140,7 @@ def _fitted(bars):
 
 @register
 def scaler_apply(spark, folder):
-    lagged = features.add_lags(_window_bars(spark, folder)).select("bar_id", *SCALED)
+    lagged = _lagged(spark, folder).select("bar_id", *SCALED)
     return rounded(_fitted(views.bars(spark, folder)).transform(lagged), SCALED, 4)
 
 
@@ -145,8 +153,9 @@ def scaler_verify(spark, folder):
 
 # --- exits and rewards --------------------------------------------------------------------
 
-def _simulated(spark, folder):
-    return exits.simulate(views.bars(spark, folder))
+def _simulated(spark, folder, last_hit: bool = False):
+    bars, order = views.ordered_bars(spark, folder)
+    return exits.simulate(bars, order=order, last_hit=last_hit)
 
 
 _EXITS = ("bar_id", "long_exit_bar", "short_exit_bar", "long_profit", "short_profit")
@@ -172,8 +181,7 @@ def max_excursion(spark, folder):
 
 @register
 def exit_last_hit(spark, folder):
-    out = exits.simulate(views.bars(spark, folder), last_hit=True)
-    return out.where("is_valid").select(*_EXITS)
+    return _simulated(spark, folder, last_hit=True).where("is_valid").select(*_EXITS)
 
 
 @register
@@ -189,8 +197,9 @@ def reward(spark, folder):
 @register
 def asset_join(spark, folder):
     """Five instruments, each with its own money value per point and tick size."""
-    bars = readers.join_assets(views.bars_multi(spark, folder), views.assets(spark))
-    out = exits.simulate(bars, Rules.joined())
+    bars, order = views.ordered_bars_multi(spark, folder)
+    priced = readers.join_assets(bars, views.assets(spark))
+    out = exits.simulate(priced, Rules.joined(), order)
     return out.where("is_valid").select("symbol", *_EXITS)
 
 
@@ -461,7 +470,7 @@ def stream_exits(spark, folder):
 @register
 def csv_roundtrip(spark, folder):
     """Feature table to csv and back through the typed reader."""
-    table = features.feature_table(_window_bars(spark, folder))
+    table = _feature_table(spark, folder).drop("bar_id")
     path = writers.write_table(table, scratch(spark, "features"))
     back = features.check_width(readers.read_features(spark, path))
     dated = clean.parse_dates(back)
@@ -502,7 +511,7 @@ def results_roundtrip(spark, folder):
 
 def _model_table(spark, folder) -> tuple[DataFrame, list[str]]:
     """Scaled feature table with labels, and the names of the selected features."""
-    table = features.feature_table(_window_bars(spark, folder), keep=("bar_id",))
+    table = _feature_table(spark, folder)
     names = features.require_features(table, features.default_selection())
     scaled = _fitted(views.bars(spark, folder)).transform(table.select("bar_id", *names))
     truth = labelled(spark, folder).select(
@@ -521,7 +530,7 @@ _SCORED = ("bar_id", "label", "p_long", "p_short", "p_none", "predicted")
 
 @register
 def feature_vector(spark, folder):
-    table = features.feature_table(_window_bars(spark, folder), keep=("bar_id",))
+    table = _feature_table(spark, folder)
     names = features.require_features(table, features.default_selection())
     values = vector_to_array("features")
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)

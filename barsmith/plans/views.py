@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.config import CATEGORICAL
-from barsmith.operators.ordered import ordered_columns, plan_order
+from barsmith.config import BAR_ORDER, CATEGORICAL, DAY_KEYS
+from barsmith.operators.ordered import (
+    MAX_GROUP_ROWS, RowOrder, ordered_columns, plan_order,
+)
 from barsmith.session import configure
 
 CUTOFF = "2024-01-25 08:30:00"
@@ -18,17 +20,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def _clocked(spark: SparkSession, folder: str, symbol: Column, max_group_rows: int | None) -> DataFrame:
-    """Events numbered by time within symbol and day, with the next value of that group.
-
-    At scale one day of events is far too large for a task, hence ``ordered_columns``.
-    """
-    events = table(spark, folder, "events").select(
+def _events(spark: SparkSession, folder: str, symbol: Column) -> DataFrame:
+    return table(spark, folder, "events").select(
         "event_id", "ts", "user_id", "value",
         symbol.alias("symbol"), F.to_date("ts").alias("trading_day"),
     )
-    limit = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
-    order = plan_order(events, ("symbol", "trading_day"), ("ts", "event_id"), **limit)
+
+
+def _clocked(events: DataFrame, order: RowOrder) -> DataFrame:
+    """Events numbered by time within symbol and day, with the next value of that group."""
     following = {"next_value": lambda w: F.coalesce(F.lead("value", 1).over(w), F.col("value"))}
     return ordered_columns(events, order, following, ahead=1, position="rn")
 
@@ -63,14 +63,34 @@ def _bars(clocked: DataFrame) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, folder: str, max_group_rows: int | None = None) -> DataFrame:
+def _ordered(events: DataFrame, max_group_rows: int) -> tuple[DataFrame, RowOrder]:
+    """Bars and their order. At scale a day of events is too large for one task, hence slices.
+
+    Bars have the groups of their events, so groups that are small enough are counted once.
+    """
+    order = plan_order(events, DAY_KEYS, ("ts", "event_id"), max_group_rows)
+    made = _bars(_clocked(events, order))
+    if order.sliced:
+        return made, plan_order(made, DAY_KEYS, BAR_ORDER, max_group_rows)
+    return made, RowOrder(DAY_KEYS, BAR_ORDER)
+
+
+def ordered_bars(spark: SparkSession, folder: str,
+                 max_group_rows: int = MAX_GROUP_ROWS) -> tuple[DataFrame, RowOrder]:
     """One instrument: every event is a bar."""
-    return _bars(_clocked(spark, folder, F.lit("ES"), max_group_rows))
+    return _ordered(_events(spark, folder, F.lit("ES")), max_group_rows)
 
 
-def bars_multi(spark: SparkSession, folder: str, max_group_rows: int | None = None) -> DataFrame:
+def ordered_bars_multi(spark: SparkSession, folder: str,
+                       max_group_rows: int = MAX_GROUP_ROWS) -> tuple[DataFrame, RowOrder]:
     """One instrument per event type."""
-    return _bars(_clocked(spark, folder, F.upper("event_type"), max_group_rows))
+    return _ordered(_events(spark, folder, F.upper("event_type")), max_group_rows)
+
+
+def bars(spark: SparkSession, folder: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    events = _events(spark, folder, F.lit("ES"))
+    return _bars(_clocked(events, plan_order(
+        events, DAY_KEYS, ("ts", "event_id"), max_group_rows)))
 
 
 # Trading parameters of the five derived instruments.

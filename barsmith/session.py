@@ -17,6 +17,7 @@ def build(app: str = "barsmith", cores: str = "*", partitions: int = 8) -> Spark
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()

@@ -12,6 +12,7 @@ from barsmith.config import (
     CATEGORICAL, CONTINUOUS, FEATURE_TABLE_WIDTH, INPUT_FEATURES, feature_table_columns,
 )
 from barsmith.operators.clean import nan_to_null
+from barsmith.operators.lookup import join_small
 
 _TYPES = {
     "bar_id": T.LongType(), "symbol": T.StringType(), "Date": T.TimestampNTZType(),
@@ -121,5 +122,5 @@ def read_predictors(spark: SparkSession, path: str) -> list[str]:
 
 
 def join_assets(bars: DataFrame, assets: DataFrame) -> DataFrame:
-    """Parameters by symbol. No hint: the size of the asset table decides at run time."""
-    return bars.join(assets, "symbol")
+    """Parameters by symbol; bars of unknown symbols have no rules and drop out."""
+    return join_small(bars, assets, ["symbol"])

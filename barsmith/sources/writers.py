@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barsmith.operators.scaler import ScalerModel
 
@@ -14,11 +13,11 @@ from barsmith.operators.scaler import ScalerModel
 def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> str:
     """Write by day, so readers of a date range skip the other days.
 
-    Rows are spread by day and hour of the bar: a large day becomes several files instead of
-    one task, and a small day does not become one file per task.
+    Ranges of the row key make tasks of equal size: a large day becomes several files, and a
+    task that holds small days writes one file for each.
     """
-    hourly = df.repartition("trading_day", F.hour("Date"))
-    hourly.write.format(fmt).mode(mode).option("header", True).partitionBy("trading_day").save(path)
+    ranged = df.repartitionByRange("trading_day", "Date", "symbol", "bar_id")
+    ranged.write.format(fmt).mode(mode).option("header", True).partitionBy("trading_day").save(path)
     return path
 
 
