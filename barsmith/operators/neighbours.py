@@ -3,8 +3,9 @@
 1. Equal vectors collapse to their k+1 smallest ids; no other copy can be a neighbour.
 2. A bounded sample of vectors (pivots) divides every group into cells by nearest pivot.
 3. Each point is searched in its own cell. Its k-th distance bounds the final answer.
-4. The point is sent on only to cells that can hold something nearer: by the triangle
-   inequality a cell is out of reach when ``|x, pivot| - radius`` exceeds that bound.
+4. The point is sent on only to cells that can hold something nearer. A cell is out of reach
+   when one of three lower bounds exceeds that distance: the gap to the cell's outer radius,
+   the gap to its inner radius, and the distance to the plane between the two pivots.
 
 Cells are searched in blocks of about ``BLOCK`` x ``BLOCK`` rows, both sides salted by a
 hash of the id, so a dense cell spreads over many tasks and a task's memory is bounded.
@@ -26,7 +27,7 @@ from barsmith.session import materialize
 BLOCK = 4096
 MAX_PIVOTS = 1024
 _SLACK = 1e-9
-_STRIP = 64
+_STRIP = 256
 
 
 def _squared(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -40,6 +41,36 @@ def _squared(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     return total
 
 
+def _block_best(rows: np.ndarray, others: np.ndarray, row_ids: np.ndarray, ids: np.ndarray,
+                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, position and squared distance of the k best others of every row.
+
+    A matrix product gives distances with a known rounding error. What may belong to the best
+    within that error is then measured exactly, so the choice and its ties are exact.
+    """
+    centre = others.mean(axis=0)
+    a, b = rows - centre, others - centre
+    a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    near = a2[:, None] + b2[None, :] - 2.0 * (a @ b.T)
+    near[row_ids[:, None] == ids[None, :]] = np.inf
+    dims = rows.shape[1]
+    spread = np.sqrt(a2.max()) + np.sqrt(b2.max())
+    size = max(np.abs(rows).max(), np.abs(others).max())
+    error = 8 * dims * np.finfo(float).eps * spread * (spread + size)
+    kth = min(k, near.shape[1]) - 1
+    limit = np.partition(near, kth, axis=1)[:, kth] + 2 * error
+    row, at = np.nonzero((near <= limit[:, None]) & np.isfinite(near))
+    distance = np.zeros(len(row))
+    for d in range(dims):
+        diff = rows[row, d] - others[at, d]
+        distance += diff * diff
+    order = np.lexsort((ids[at], distance, row))
+    row, at, distance = row[order], at[order], distance[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+    keep = place < k
+    return row[keep], at[keep], distance[keep]
+
+
 def nearest(points: DataFrame, k: int, group: str = "label", key: str = "bar_id",
             vector: str = "vector", block: int = BLOCK,
             pivots: int | None = None) -> DataFrame:
@@ -54,9 +85,10 @@ def nearest(points: DataFrame, k: int, group: str = "label", key: str = "bar_id"
         placed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
         .drop("copy"), "targets")
     cells = targets.groupBy("g", "cell").agg(
-        F.count("id").alias("n"), F.max("dist").alias("radius")).collect()
+        F.count("id").alias("n"), F.min("dist").alias("inner"), F.max("dist").alias("outer"),
+    ).collect()
     target_sizes = {(r["g"], r["cell"]): r["n"] for r in cells}
-    radii = {(r["g"], r["cell"]): r["radius"] for r in cells}
+    rings = {(r["g"], r["cell"]): (r["inner"], r["outer"]) for r in cells}
 
     home = _search(placed.select("g", "id", "x", "cell"), targets, target_sizes, k, block)
     if all(len(c) == 1 for c in centres.values()):
@@ -68,7 +100,7 @@ def nearest(points: DataFrame, k: int, group: str = "label", key: str = "bar_id"
         "g", "id", "x", "cell",
         F.when(F.col("found") >= k, F.sqrt("worst")).alias("reach"),
     )
-    away = materialize(_send(bounded, centres, radii), "sent")
+    away = materialize(_send(bounded, centres, rings), "sent")
     found = home.unionByName(_search(away, targets, target_sizes, k, block))
     return _best(found, k, group, key)
 
@@ -117,26 +149,38 @@ def _place(base: DataFrame, centres: dict) -> DataFrame:
     return base.mapInPandas(run, schema)
 
 
-def _send(bounded: DataFrame, centres: dict, radii: dict) -> DataFrame:
+def _lower_bounds(distances: np.ndarray, cell: np.ndarray, between: np.ndarray,
+                  inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
+    """How near anything in each cell can be, from the distances to all pivots."""
+    own = distances[np.arange(len(cell)), cell][:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (distances - own) * (distances + own) / (2.0 * between[cell])
+    plane = np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0)
+    return np.maximum.reduce([distances - outer, inner - distances, plane])
+
+
+def _send(bounded: DataFrame, centres: dict, rings: dict) -> DataFrame:
     """One row per foreign cell that may hold a nearer neighbour."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between = {g: np.sqrt(_squared(c, c)) for g, c in centres.items()}
         for frame in frames:
             for g, at in frame.groupby("g").indices.items():
-                own = frame.iloc[at].reset_index(drop=True)
-                distances = np.sqrt(_squared(np.stack(own["x"].values), centres[g]))
-                radius = np.array([radii.get((g, c), -np.inf) for c in range(len(centres[g]))])
-                nearest_possible = distances - radius[None, :]
-                reach = own["reach"].fillna(np.inf).to_numpy()
-                slack = _SLACK * (1.0 + distances)
-                can_hold = nearest_possible <= reach[:, None] + slack
-                can_hold &= np.isfinite(radius)[None, :]
-                can_hold[np.arange(len(own)), own["cell"].to_numpy()] = False
-                row, cell = np.nonzero(can_hold)
+                points = frame.iloc[at].reset_index(drop=True)
+                cell = points["cell"].to_numpy()
+                ring = np.array([rings.get((g, c), (np.inf, -np.inf)) for c in range(len(centres[g]))])
+                distances = np.sqrt(_squared(np.stack(points["x"].values), centres[g]))
+                bound = _lower_bounds(distances, cell, between[g], ring[:, 0], ring[:, 1])
+                # Bounds are rounded: a little slack keeps ties and the search exact.
+                reach = points["reach"].fillna(np.inf).to_numpy()[:, None]
+                can_hold = bound <= reach + _SLACK * (1.0 + distances)
+                can_hold &= np.isfinite(ring[:, 0])
+                can_hold[np.arange(len(points)), cell] = False
+                row, target = np.nonzero(can_hold)
                 if not len(row):
                     continue
                 yield pd.DataFrame({
-                    "g": own["g"].to_numpy()[row], "id": own["id"].to_numpy()[row],
-                    "x": own["x"].to_numpy()[row], "cell": cell.astype(np.int32),
+                    "g": points["g"].to_numpy()[row], "id": points["id"].to_numpy()[row],
+                    "x": points["x"].to_numpy()[row], "cell": target.astype(np.int32),
                 })
 
     kind = dict(bounded.dtypes)
@@ -172,29 +216,19 @@ def _search(points: DataFrame, targets: DataFrame, target_sizes: dict, k: int,
         columns = ["g", "id", "nn_id", "distance2", "nn_vector"]
         if mine.empty or theirs.empty:
             return pd.DataFrame(columns=columns, dtype=object)
-        theirs = theirs.sort_values("id", kind="stable")
         ids, vectors = theirs["id"].to_numpy(), np.stack(theirs["x"].values)
         out = []
         for start in range(0, len(mine), _STRIP):
             strip = mine.iloc[start:start + _STRIP]
-            distances = _squared(np.stack(strip["x"].values), vectors)
-            distances[strip["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-            row = np.arange(len(strip))
-            for _ in range(min(k, len(ids))):
-                at = distances.argmin(axis=1)
-                value = distances[row, at]
-                real = np.isfinite(value)
-                if not real.any():
-                    break
+            row, at, distance = _block_best(
+                np.stack(strip["x"].values), vectors, strip["id"].to_numpy(), ids, k)
+            if len(row):
                 out.append(pd.DataFrame({
-                    "g": strip["g"].to_numpy()[real], "id": strip["id"].to_numpy()[real],
-                    "nn_id": ids[at[real]], "distance2": value[real],
-                    "nn_vector": list(vectors[at[real]]),
+                    "g": strip["g"].to_numpy()[row], "id": strip["id"].to_numpy()[row],
+                    "nn_id": ids[at], "distance2": distance, "nn_vector": list(vectors[at]),
                 }))
-                distances[row, at] = np.inf
-        if not out:
-            return pd.DataFrame(columns=columns, dtype=object)
-        return pd.concat(out, ignore_index=True)
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
+            columns=columns, dtype=object)
 
     keys = ["g", "cell", "pb", "tb"]
     schema = (

@@ -224,9 +224,11 @@ _LABEL_INPUT = (
 
 
 def _candidates(spark, folder, rule: LabelRule = DEFAULT_LABELS):
-    valid = _simulated(spark, folder).where("is_valid")
-    split = splits.add_split(valid, views.CUTOFF).select(*_LABEL_INPUT)
-    return labels.add_candidates(labels.add_rewards(split, decay=rule.decay), rule)
+    """Days are divided before the simulation, so finding them does not run it."""
+    bars, order = views.ordered_bars(spark, folder)
+    split = splits.add_split(bars, views.CUTOFF)
+    valid = exits.simulate(split, order=order).where("is_valid").select(*_LABEL_INPUT)
+    return labels.add_candidates(labels.add_rewards(valid, decay=rule.decay), rule)
 
 
 def labelled(spark, folder, rule: LabelRule = DEFAULT_LABELS):

@@ -180,11 +180,11 @@ def candidate_steps(min_profit: float = 30) -> dict[str, str]:
         return (f"{own} * {num(0.4)} + {reward(own)} * {num(0.3)} "
                 f"+ ({ratio(own, other)}) * {num(0.3)}")
 
-    return SIM | {"valid": "SELECT * FROM sim WHERE is_valid"} | split_steps("valid") | {
+    return BARS | split_steps("bars") | sim_steps(source="split_rows") | {
         "sided": f"""SELECT *, {ratio(lp, sp)} AS long_ratio, {ratio(sp, lp)} AS short_ratio,
   CASE WHEN {lp} > {min_profit} AND {reward(lp)} > 0 AND {lp} > {sp} THEN 0
        WHEN {sp} > {min_profit} AND {reward(sp)} > 0 AND {sp} > {lp} THEN 1 END AS side
-FROM split_rows""",
+FROM sim WHERE is_valid""",
         "candidates": f"""SELECT *, CASE side WHEN 0 THEN {score(lp, sp)}
   WHEN 1 THEN {score(sp, lp)} END AS score FROM sided""",
     }
