@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -25,7 +26,7 @@ from barsmith.streaming import entry, jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-STREAM_SPLIT = "2024-01-15 08:36:00"
+ARRIVAL_ROWS = 5_000_000
 
 
 def register(query: Query) -> Query:
@@ -435,9 +436,20 @@ def parse_requests(spark, folder):
 # --- streams ------------------------------------------------------------------------------
 
 def _arrivals(df: DataFrame) -> list[DataFrame]:
-    """The bars before and after a moment inside a day."""
-    moment = F.lit(STREAM_SPLIT).cast("timestamp_ntz")
-    return [df.where(F.col("Date") < moment), df.where(F.col("Date") >= moment)]
+    """The whole table as parts that arrive in order of time, each of a bounded size.
+
+    A key's bars of one arrival are sorted in one task, so a larger table has more arrivals.
+    """
+    df = materialize(df, "replayed")
+    micros = F.unix_micros(F.col("Date").cast("timestamp_ltz"))
+    n = max(2, math.ceil(df.count() / ARRIVAL_ROWS))
+    cuts = df.agg(F.percentile_approx(micros, [i / n for i in range(1, n)], 100_000)).first()[0]
+    ends = [None, *sorted(set(cuts)), None]
+    return [
+        df.where((F.lit(lo is None) | (micros >= F.lit(lo or 0)))
+                 & (F.lit(hi is None) | (micros < F.lit(hi or 0))))
+        for lo, hi in zip(ends, ends[1:])
+    ]
 
 
 @register

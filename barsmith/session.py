@@ -33,7 +33,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach; only tests without one get a local folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = tempfile.mkdtemp(prefix="barsmith-")
         spark.conf.set("spark.checkpoint.dir", folder)
