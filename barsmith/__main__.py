@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from barsmith import jobs
 from barsmith.config import Asset
+from barsmith.operators import exits
 from barsmith.session import configure
 from barsmith.sources import readers, writers
 
@@ -29,6 +30,7 @@ def main() -> None:
     parser.add_argument("--assets")
     parser.add_argument("--scaler")
     parser.add_argument("--selection")
+    parser.add_argument("--profits", default="base", choices=exits.VARIANTS)
     parser.add_argument("--cutoff", default="2025-07-07 08:30:00")
     args = parser.parse_args()
 
@@ -42,7 +44,8 @@ def main() -> None:
         names = readers.read_selection(spark, args.selection) if args.selection else None
         result = jobs.train(
             spark, bars, writers.load_scaler(spark, args.scaler), args.cutoff,
-            _asset(spark, args.assets, args.symbol), selection=names)
+            _asset(spark, args.assets, args.symbol), selection=names,
+            variant=args.profits)
         jobs.save(result, args.output, args.symbol)
         result.summary.show(truncate=False)
 

@@ -54,19 +54,20 @@ class TrainingResult:
 
 def train(spark: SparkSession, bars: DataFrame, fitted: ScalerModel, cutoff: str,
           asset: Asset = Asset(), rule: LabelRule = DEFAULT_LABELS,
-          selection: list[str] | None = None,
+          selection: list[str] | None = None, variant: str = "base",
           boost: training.BoostParams = training.BoostParams(),
           forest: training.ForestParams = training.ForestParams()) -> TrainingResult:
     """Exits, labels, balancing, two models, evaluation and trades of the test part.
 
-    Only bars in the trading window take part, also as horizon of other bars.
+    Only bars in the trading window take part, also as horizon of other bars. ``variant``
+    chooses the profits that labels and evaluation use.
     """
     configure(spark)
     window = materialize(clean.keep_window(bars), "window-bars")
     order = features.day_order(window)
     rules = Rules.of(asset)
     split = splits.add_split(window, cutoff)
-    valid = exits.simulate(split, rules, order).where("is_valid").select(
+    valid = exits.profits(split, rules, order, variant).where("is_valid").select(
         "bar_id", "symbol", "Date", "InWindow", "split", "long_profit", "short_profit")
     rewarded = labels.add_rewards(valid, asset.maximum_drawdown, rule.decay)
     truth = labels.select_labels(labels.add_candidates(rewarded, rule), rule)

@@ -125,6 +125,25 @@ def clamp(simulated: DataFrame, rules: Rules | None = None) -> DataFrame:
     return simulated.withColumns(worst).withColumns(clamped)
 
 
+VARIANTS = ("base", "clamped", "last_hit")
+
+
+def profits(df: DataFrame, rules: Rules | None = None, order: RowOrder | None = None,
+            variant: str = "base") -> DataFrame:
+    """``simulate`` with the profits of a variant in the profit columns."""
+    if variant not in VARIANTS:
+        raise ValueError(f"Unknown variant {variant}; known: {VARIANTS}")
+    out = simulate(df, rules, order, last_hit=variant == "last_hit")
+    if variant != "clamped":
+        return out
+    limited = clamp(out, rules)
+    return limited.select(*[
+        F.col(c.replace("_profit", "_clamped")).alias(c)
+        if c in ("long_profit", "short_profit") else F.col(c)
+        for c in out.columns
+    ])
+
+
 def max_excursion(clamped: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Best price reached in six bars, or up to the worst bar when the stop was hit."""
     rules = rules or Rules.of(Asset())

@@ -1,7 +1,8 @@
 """Previous bar and trade exits on a stream, keyed by symbol and day.
 
 Bars of a key are taken in order of time. A bar older than the newest one already taken is
-late: it is reported with ``late`` set and does not touch the state. State is dropped once
+late: it is reported with ``late`` set and does not touch the state. Bars older than the
+watermark do not reach the operator; the query's progress counts them. State is dropped once
 the watermark is an hour past the key's newest bar. State holds one bar or six. A call sorts
 the bars of its key in one micro-batch: at most 17 280 for a day of five-second bars, and
 never more than the micro-batch, whose size the source bounds (``files_per_trigger``).

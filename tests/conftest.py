@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    built = session.build("tests", cores="8")
+    built = session.build("tests", cores="8", partitions=4)
     built.sparkContext.setLogLevel("ERROR")
     yield built
     built.stop()

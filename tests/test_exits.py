@@ -48,6 +48,18 @@ def test_golden_exits(spark, case):
     assert got == pytest.approx(EXPECTED[case], abs=1e-6)
 
 
+def test_variants_fill_the_profit_columns(spark):
+    bars = price_bars(spark, CASES["stop_and_target"])
+    got = {
+        v: [exits.profits(bars, variant=v).where("bar_id = 0").first()[c]
+            for c in ("long_profit", "short_profit")]
+        for v in exits.VARIANTS
+    }
+    assert got == {"base": [112.5, -100.0], "clamped": [-150.0, -100.0], "last_hit": [100.0, -112.5]}
+    with pytest.raises(ValueError, match="Unknown variant"):
+        exits.profits(bars, variant="other")
+
+
 def test_only_window_bars_with_full_horizon_count(spark):
     prices = [FLAT] * 9
     out = exits.simulate(price_bars(spark, prices, in_window=[True] * 9))

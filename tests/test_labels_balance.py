@@ -91,7 +91,7 @@ def test_neighbours_equal_brute_force(spark, block, pivots):
     assert found(spark, points, 3, block=block, pivots=pivots) == brute(points, 3)
 
 
-@settings(max_examples=3, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=2, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), min_size=4, max_size=30),
        st.integers(1, 6))
 def test_neighbours_on_a_grid_with_ties(spark, cells, pivots):

@@ -6,7 +6,11 @@ import __spark_entry__ as contract
 import check
 from conftest import SF
 
-HEAVY = {"train_ensemble", "model_roundtrip", "tune", "train_weighted"}  # see test_training
+# The same operators run on small tables in test_training and test_labels_balance.
+HEAVY = {
+    "train_ensemble", "model_roundtrip", "tune", "train_weighted", "train_forest", "train_boost",
+    "smote_rows",
+}
 
 
 @pytest.fixture(scope="module")

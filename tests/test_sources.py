@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from barsmith.config import CATEGORICAL, CONTINUOUS, feature_table_columns
+from barsmith.config import CATEGORICAL, CONTINUOUS, Asset, feature_table_columns
 from barsmith.operators import clean, features, scaler
 from barsmith.plans import views
 from barsmith.sources import readers, writers
@@ -60,7 +60,8 @@ def test_parameter_and_selection_files(spark, tmp_path):
               "stoploss": 150.0}
     (tmp_path / "a.json").write_text(json.dumps({"assets": {"ES": values, "NQ": values}}, indent=1))
     rows = readers.read_assets(spark, str(tmp_path / "a.json")).collect()
-    assert {r["symbol"] for r in rows} == {"ES", "NQ"} and rows[0]["target_profit"] == 100.0
+    assert {r["symbol"] for r in rows} == {"ES", "NQ"}
+    assert Asset(**rows[0].asDict()) == Asset(rows[0]["symbol"])
     (tmp_path / "s.json").write_text(json.dumps({"selected_features": ["RSI", "Open"]}, indent=1))
     assert readers.read_selection(spark, str(tmp_path / "s.json")) == ["RSI", "Open"]
     (tmp_path / "c.json").write_text(json.dumps(["RSI", "MACD"]))
