@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,19 +25,37 @@ def build(app: str = "barsmith", cores: str = "*", partitions: int = 8) -> Spark
     )
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the workers this package, whatever folder they start in; once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "barsmith_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="barsmith-code-")
+        context.addPyFile(shutil.make_archive(
+            f"{folder}/barsmith", "zip", os.path.dirname(package), os.path.basename(package)))
+        context.barsmith_shipped = True
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Bars carry wall-clock times, so parsing must not depend on the host's zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
-    return spark
+    return ship(spark)
+
+
+class NoSharedFolder(RuntimeError):
+    """Intermediate results need a folder that the driver and all executors can reach."""
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; only tests without one get a local folder."""
+    """The folder every executor can reach: spark.checkpoint.dir, or the context's own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="barsmith-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barsmith-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
@@ -49,4 +68,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many: cuts lineage and survives the loss of executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what materialize wrote, once no later plan reads it."""
+    remove(df.sparkSession, df.scratch_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
