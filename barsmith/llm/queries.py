@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import decontaminate, langid, minhash, pii, sentencepiece_codec
+from barsmith import session
+from barsmith.llm import (
+    decontaminate, fuzzy_hash, interpolated_lm, langid, licenses, minhash, pii, sentencepiece_codec, shards, warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +29,11 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.tokens(_table(spark, folder, "documents"), piece_model(), keep_ids=False)
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and their likeness."""
+    return fuzzy_hash.compare_with_next(_table(spark, folder, "documents"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document."""
     docs = _table(spark, folder, "documents")
@@ -37,6 +45,13 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """A record per page, written to archives and read back through the index."""
+    index = warc.write(_table(spark, folder, "pages"), warc.archive_folder(spark))
+    return warc.read(index, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document."""
     docs = _table(spark, folder, "documents")
@@ -45,17 +60,42 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document."""
+    return interpolated_lm.score(_table(spark, folder, "documents"))
+
+
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document, read back from the written shards."""
+    stored = shards.write(_table(spark, folder, "documents"), session.scratch(spark, "shards"), 40, seed=7)
+    text = F.coalesce("text", F.lit(""))
+    return stored.select(
+        "doc_id", (F.octet_length(text) + shards.ROW_BYTES).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate group of every document."""
     return minhash.groups(_table(spark, folder, "documents"))
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License labels of every document."""
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_fingerprints": op2_fingerprints,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_warc": op5_warc,
     "op6_language_id": op6_language_id,
+    "op7_language_model": op7_language_model,
+    "op8_sharding": op8_sharding,
     "op9_minhash": op9_minhash,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {}
