@@ -36,7 +36,7 @@ _STEPS = 4  # histogram cells per factor of two
 
 @dataclass(frozen=True)
 class Settings:
-    chunk_bytes: int = 12 << 20
+    chunk_bytes: int = 6 << 20
     deleted: int = 10    # one in so many training documents is held out to learn the weights
     rounds: int = 60
     seed: int = 3
