@@ -131,7 +131,7 @@ _KIND = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha
 def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(row, next row of its bucket) for the rows of sorted batches; rows are (bucket, extra, id, text)."""
     last = None
-    for batch in batches:
+    for batch in words.slices(batches):
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if last is not None and not last[1]:
                 yield last, row

@@ -27,6 +27,8 @@ FAMILIES = {
     "ru": "slavic", "pl": "slavic", "cs": "slavic", "uk": "slavic", "bg": "slavic", "sr": "slavic",
 }
 UNDETERMINED = "und"
+#: Texts whose feature vectors are in memory together.
+BLOCK_TEXTS = 256
 
 
 @dataclass(frozen=True)
@@ -172,7 +174,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, settings
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = words.buffers(batch.column("text"))
-            for low, high in words.blocks(offsets):
+            for low, high in words.blocks(offsets, most=BLOCK_TEXTS):
                 part = offsets[low : high + 1]
                 x, letters = features(data[part[0] : part[-1]], part - part[0], dims)
                 yield pa.RecordBatch.from_arrays(
@@ -209,7 +211,7 @@ def predict_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
             data, offsets = words.buffers(batch.column(place))
             names: list[str] = []
             score: list[float] = []
-            for low, high in words.blocks(offsets):
+            for low, high in words.blocks(offsets, most=BLOCK_TEXTS):
                 part = offsets[low : high + 1]
                 found = shared.value.predict(data[part[0] : part[-1]], part - part[0])
                 names += found[0]

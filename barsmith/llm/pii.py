@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.llm import words
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("outside", *KINDS)
 Span = tuple[int, int, int]  # kind number, start, end
@@ -256,7 +258,7 @@ def fit(docs: DataFrame, text_col: str = "text", settings: Settings = Settings()
     chosen = usable.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003 < share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches):
             rows = []
             for text in batch.column(0).to_pylist():
                 for row in _pseudo_rows(Graph.of(text, base_spans(text))):
@@ -330,7 +332,7 @@ def redact_rows(docs: DataFrame, model: Field, text_col: str = "text", settings:
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches):
             texts = [t if t is None else redact(t, spans_of(t, shared.value, settings)[1])
                      for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.names[place], pa.array(texts, pa.string()))
@@ -350,7 +352,7 @@ def find(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str =
              ("spans", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base, spans = spans_of(text or "", shared.value, settings)

@@ -18,14 +18,17 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.llm import words
+
 SPACE = "▁"
-#: Words and pairs that a worker remembers, and the longest word; a full store starts anew.
-WORDS_KEPT = 800_000
-PAIRS_KEPT = 500_000
+#: Words and pairs in a worker's store, which is kept twice (new and old), and the longest word.
+WORDS_KEPT = 250_000
+PAIRS_KEPT = 300_000
 LONGEST_KEPT = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -53,6 +56,7 @@ class Codec:
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.end = trained.eos_id
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.own = {p: p for p in self.pieces}  # one string per piece in the store of pairs
         self.known = Memo(lambda word: " ".join(map(str, self.word_ids(word))))
         self.surfaces = {str(i): self._surface(i) for i in range(len(self.pieces))}
         # Only pieces that merging their own text produces can occur.
@@ -102,7 +106,8 @@ class Codec:
         if known is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            known = self.merge(left + right) == [left, right]
+            self.pairs[self.own.get(left, left), self.own.get(right, right)] = known
         return known
 
     def split(self, text: str) -> list[str]:
@@ -202,16 +207,21 @@ def _repair(raw: bytes) -> str:
 
 
 class Memo(dict):
-    """What a function gave for short words; starts anew when full."""
+    """What a function gave for short words. A full store becomes the old one, from which words that
+    are still in use come back; the old store before it is dropped."""
 
     def __init__(self, make: Callable[[str], str]):
         super().__init__()
         self.make = make
+        self.old: dict[str, str] = {}
 
     def __missing__(self, word: str) -> str:
-        made = self.make(word)
+        made = self.old.get(word)
+        if made is None:
+            made = self.make(word)
         if len(word) <= LONGEST_KEPT:
             if len(self) >= WORDS_KEPT:
+                self.old = dict(self)
                 self.clear()
             self[word] = made
         return made
@@ -240,18 +250,20 @@ def tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for batch in batches:
-            rows: list[list] = [[] for _ in fields[1:]]
+        for batch in words.slices(batches):
+            counts, marks, back, ids_of = [], [], [], []
             for text in batch.column(1):
                 ids, count, decoded = own.encode_decode(text.as_py() or "")
-                values = [count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
+                counts.append(count)
+                marks.append(hashlib.sha256(ids.encode()).hexdigest())
+                back.append(hashlib.sha256(decoded).hexdigest())
                 if keep_ids:
-                    values.append([int(i) for i in ids.split()])
-                for column, value in zip(rows, values):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, kind) for c, (_, kind) in zip(rows, fields[1:]))],
-                schema=pa.schema(fields))
+                    ids_of.append(np.array(ids.split(" "), np.int32))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(marks), pa.array(back)]
+            if keep_ids:
+                edge = pa.array(np.cumsum([0, *counts]), pa.int32())
+                columns.append(pa.ListArray.from_arrays(edge, pa.array(np.concatenate(ids_of))))
+            yield pa.RecordBatch.from_arrays(columns, names=[f for f, _ in fields])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, schema)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith import session
+from barsmith.llm import words
 
 FILE_BYTES = 256 << 20   # a file is closed beyond this size
 RANGE_BYTES = 8 << 20    # a joined read has at most this size, unless one record is larger
@@ -105,7 +106,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         store.create_dir(path, recursive=True)
         out, name, offset, rows = None, "", 0, []
         try:
-            for batch in batches:
+            for batch in words.slices(batches):
                 for page, url, html, refers in zip(*(c.to_pylist() for c in batch.columns)):
                     if out is None:
                         name, offset = f"{uuid.uuid4().hex}.warc.gz", 0

@@ -7,7 +7,7 @@ only a single text longer than a block makes a block longer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,12 +82,19 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with at most limit bytes together; a longer text stands alone."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches cut into few rows each, for work that makes Python objects per row."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
+def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES, most: int = 2048) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `most` texts with at most limit bytes together; a longer text stands alone."""
     low, n = 0, len(offsets) - 1
     while low < n:
         high = int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1
-        high = min(max(high, low + 1), n)
+        high = min(max(high, low + 1), low + most, n)
         yield low, high
         low = high
 
