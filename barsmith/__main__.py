@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from barsmith import jobs
 from barsmith.config import Asset
@@ -16,7 +17,9 @@ from barsmith.sources import readers, writers
 def _asset(spark: SparkSession, path: str | None, symbol: str) -> Asset:
     if path is None:
         return Asset(symbol)
-    row = readers.read_assets(spark, path).where(f"symbol = '{symbol}'").first()
+    row = readers.read_assets(spark, path).where(F.col("symbol") == symbol).first()
+    if row is None:
+        raise ValueError(f"No parameters for symbol {symbol} in {path}")
     return Asset(**row.asDict())
 
 

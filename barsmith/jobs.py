@@ -23,7 +23,10 @@ def prepare_bars(spark: SparkSession, path: str, fmt: str = "csv", symbol: str =
     """Raw bars, read and cleaned. Keys made for files without them hold for the same files."""
     text = fmt in ("csv", "json")
     raw = readers.read_raw_bars(configure(spark), readers.require_path(spark, path), fmt, symbol, text)
-    return clean.clean_bars(raw) if text else clean.add_trading_day(clean.flag_window(raw))
+    if text:
+        return clean.clean_bars(raw)
+    dated = clean.keep_bar_marks(clean.drop_undated(raw))
+    return clean.add_trading_day(clean.flag_window(dated))
 
 
 def build_features(spark: SparkSession, bars: DataFrame, output: str, fmt: str = "csv") -> str:

@@ -35,6 +35,10 @@ def add_weights(df: DataFrame, weights: dict[int, float], label: str = "label")
     return df.withColumn("weight", weight)
 
 
+#: Copies of a row that one array holds.
+COPIES_PER_PART = 10_000
+
+
 @dataclass(frozen=True)
 class Balanced:
     rows: DataFrame
@@ -93,10 +97,16 @@ def _copies(minority: DataFrame, sizes: dict, needs: dict, seed: int,
         every = F.when(F.col("label") == c, need // sizes[c]).otherwise(every)
         extra = F.when(F.col("label") == c, need % sizes[c]).otherwise(extra)
     count = every + F.when(F.col("place") <= extra, 1).otherwise(0)
+    first = F.col("part") * COPIES_PER_PART + 1
+    last = F.least(F.col("copies"), first + (COPIES_PER_PART - 1))
+    # Parts of bounded length are dealt to tasks before they grow into rows.
     return (
-        ranked.withColumn("copies", count.cast("int")).where(F.col("copies") > 0)
+        ranked.withColumn("copies", count.cast("long")).where(F.col("copies") > 0)
+        .select("bar_id", "label", "vector", "copies", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES_PER_PART}"))).alias("part"))
+        .repartition("bar_id", "part")
         .select("bar_id", "label", "vector",
-                F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+                F.explode(F.sequence(first, last)).alias("copy"))
     )
 
 

@@ -74,9 +74,9 @@ def default_selection() -> list[str]:
 
 def select_features(df: DataFrame, names: list[str],
                     count: int = SELECTED_FEATURE_COUNT) -> tuple[list[str], list[str]]:
-    """Listed names that exist, in list order and cut at ``count``, and the missing ones."""
+    """Listed names that exist, in list order, and the missing ones."""
     present = set(df.columns)
-    found = [n for n in names if n in present][:count]
+    found = [n for n in names if n in present]
     return found, [n for n in names if n not in present]
 
 

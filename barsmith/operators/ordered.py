@@ -9,7 +9,8 @@ split even when all its rows have the same time.
 Windows then run per group and slice. Cut points are literals of the plan, so a task that is
 computed again after a lost executor sees the same slices. Rows that
 windows need across a cut (at most ``ahead + behind`` per cut) are copied to the slices that
-need them, and positions are the local position plus the rows of earlier slices.
+need them, and positions are the local position plus the rows of earlier slices. Null keys are a
+group like any other and null sort values come first, in either plan.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import datetime as dt
 import math
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,14 +39,17 @@ class RowOrder:
     keys: tuple[str, ...]
     by: tuple[str, ...]
     cuts: tuple[tuple, ...] = ()
+    types: tuple[str, ...] = ()  # SQL types of keys and by, for null values in cuts
 
     @property
     def sliced(self) -> bool:
         return bool(self.cuts)
 
     def _tuple_sql(self, names: tuple[str, ...], values: tuple) -> str:
+        kinds = dict(zip(self.keys + self.by, self.types, strict=True))
         return "named_struct(" + ", ".join(
-            f"'{n}', {_literal(v)}" for n, v in zip(names, values, strict=True)
+            f"'{n}', " + (_literal(v) if v is not None else f"CAST(NULL AS {kinds[n]})")
+            for n, v in zip(names, values, strict=True)
         ) + ")"
 
     def _cut_array(self, width: int) -> str:
@@ -73,8 +79,6 @@ class RowOrder:
 
 
 def _literal(value) -> str:
-    if value is None:
-        raise ValueError("group and sort columns must not be null")
     if isinstance(value, bool):
         return str(value).lower()
     if isinstance(value, int):
@@ -111,7 +115,14 @@ def plan_order(
         parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         slices = min(MAX_SLICES, max(parallel, math.ceil(crowded / max(max_group_rows, 1))))
     large = counts.where(too_large).select(*keys)
-    return RowOrder(tuple(keys), tuple(by), _sample_cuts(df, keys, by, large, crowded, slices))
+    types = tuple(kind for _, kind in df.select(*keys, *by).dtypes)
+    return RowOrder(
+        tuple(keys), tuple(by), _sample_cuts(df, keys, by, large, crowded, slices), types)
+
+
+def _same(keys: tuple[str, ...], prefix: str) -> Column:
+    """Equal keys; null keys are a group like any other."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
 def _sample_cuts(df, keys, by, large: DataFrame, crowded: int, slices: int) -> tuple[tuple, ...]:
@@ -122,7 +133,7 @@ def _sample_cuts(df, keys, by, large: DataFrame, crowded: int, slices: int) -> t
     sample = (
         df.select(*columns)
         .where(F.pmod(F.xxhash64(*columns), F.lit(_SAMPLE_SPACE)) < share)
-        .join(large, list(keys), "left_semi")
+        .join(large.toDF(*[f"_large_{k}" for k in keys]), _same(tuple(keys), "_large_"), "left_semi")
         .orderBy(*columns)
         .collect()
     )
@@ -209,12 +220,12 @@ def _with_offsets(out, sliced, order: RowOrder, position, total) -> DataFrame:
     group = Window.partitionBy(*order.keys)
     before = group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *order.keys,
-        _SLICE,
+        *[F.col(k).alias(f"_of_{k}") for k in order.keys],
+        F.col(_SLICE).alias(f"_of_{_SLICE}"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(group).alias("_total"),
     )
-    out = out.join(offsets, [*order.keys, _SLICE])
+    out = out.join(offsets, _same((*order.keys, _SLICE), "_of_"))
     if position:
         out = out.withColumn(position, F.col("_before") + F.col(_RANK))
     if total:

@@ -67,10 +67,10 @@ def _number(name: str):
 
 
 def require_path(spark: SparkSession, path: str) -> str:
-    """Raise when an input is missing, on whatever file system the path names."""
+    """Raise when no file matches a path or pattern, on whatever file system it names."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(hadoop):
+    if not len(files.globStatus(hadoop) or ()):
         raise FileNotFoundError(path)
     return path
 

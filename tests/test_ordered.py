@@ -33,7 +33,7 @@ def answers(df, order):
         "after6": lambda w: F.lead("id", 6).over(w),
     }
     out = ordered_columns(df, order, columns, ahead=6, behind=1, position="pos", total="n")
-    return sorted(tuple(r) for r in out.collect())
+    return sorted((tuple(r) for r in out.collect()), key=lambda r: [str(v) for v in r])
 
 
 @pytest.mark.parametrize("sizes, ties, slices", [
@@ -51,6 +51,23 @@ def test_sliced_equals_whole(spark, sizes, ties, slices):
     assert answers(df, sliced) == answers(df, whole)
 
 
+@pytest.mark.parametrize("column", ["symbol", "day", "at"])
+def test_nulls_stay_in_both_plans(spark, column):
+    df = table(spark, [90, 40, 3], ties=2).withColumn(
+        column, F.expr(f"if(id % 3 = 0, null, {column})"))
+    sliced = plan_order(df, KEYS, BY, max_group_rows=10, slices=12)
+    assert sliced.sliced
+    got = answers(df, sliced)
+    key = lambda r: [str(v) for v in r]
+    assert sorted(got, key=key) == sorted(answers(df, RowOrder(KEYS, BY)), key=key) and len(got) == 133
+
+
+def test_a_null_group_is_split(spark):
+    df = table(spark, [100]).withColumn("symbol", F.lit(None).cast("string"))
+    order = plan_order(df, KEYS, BY, max_group_rows=10, slices=5)
+    assert order.sliced and df.select(order.slice_column().alias("s")).distinct().count() >= 4
+
+
 def test_group_size_decides(spark):
     df = table(spark, [30, 10])
     assert not plan_order(df, KEYS, BY, max_group_rows=30).sliced
