@@ -7,11 +7,11 @@ Candidates far below the threshold are left out by that estimate; the rest is co
 full shingle sets.
 
 * Equal sets form a class with one representative, so copies never become pairs.
-* Round one links every member of a band's bucket with the smallest member only. Round two takes
-  the buckets that still hold several components and links a member with its most similar partner
-  of each other component; round three compares all members across the components that are left.
-  Nothing is capped: after the rounds every candidate pair is confirmed, refused, or inside one
-  component.
+* Round one links every member of a band's bucket with the smallest member only. The buckets that
+  still hold several components give the pairs across them, each pair once, in the first bucket it
+  shares. Round two confirms a member's most similar partner of each other component, round three
+  the pairs whose components still differ. Nothing is capped: after the rounds every candidate pair
+  is confirmed, refused, or inside one component.
 * 32 bands of 5 minima miss a pair at similarity 0.85 with probability 7e-9. The estimate has a
   standard deviation of 0.0167 there, and the margin is 4.5 of them (3e-6 for a pair just at the
   threshold, 3e-8 at 0.87).
@@ -172,22 +172,36 @@ def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _across(shared: DataFrame, labels: DataFrame, floor: float, settings: Settings) -> DataFrame:
-    """Pairs a < b of a bucket whose components ca, cb differ and whose estimated likeness suffices."""
-    seen = shared.select("band", "doc_id", "lanes", "n_shingles") \
-        .join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left") \
-        .withColumn("component", F.coalesce("component", "doc_id"))
+    """Pairs a < b of a bucket whose components differ and whose estimated likeness suffices.
+
+    A pair that shares several buckets is made in the first of them only.
+    """
+    seen = _labelled(shared.select("band", "earlier", "doc_id", "lanes", "n_shingles"), labels, "doc_id", "component")
     mixed = seen.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
         .where("x < y").select("band")
     rest = session.materialize(seen.join(mixed, "band"), "open")
-    left = rest.select("band", F.col("doc_id").alias("a"), F.col("lanes").alias("la"),
+    left = rest.select("band", F.col("earlier").alias("ea"), F.col("doc_id").alias("a"), F.col("lanes").alias("la"),
                        F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    right = rest.select("band", F.col("doc_id").alias("b"), F.col("lanes").alias("lb"),
+    right = rest.select("band", F.col("earlier").alias("eb"), F.col("doc_id").alias("b"), F.col("lanes").alias("lb"),
                         F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
     likeness = estimate(F.col("la"), F.col("lb"), settings)
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (likeness >= floor) \
-        & (100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb"))
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) \
+        & (100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")) & (likeness >= floor) \
+        & ~F.arrays_overlap("ea", "eb")
     return left.join(right, (left["band"] == right["band"]) & near) \
-        .select("a", "b", "ca", "cb", likeness.alias("likeness")).distinct()
+        .select("a", "b", "ca", "cb", likeness.alias("likeness"))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """The rows with the component of a node; a node without links is its own."""
+    return rows.join(labels.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left") \
+        .withColumn(name, F.coalesce(name, node))
+
+
+def _grown(links: DataFrame, more: DataFrame) -> DataFrame:
+    grown = session.materialize(links.unionByName(more), "links")
+    session.discard(links)
+    return grown
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -210,7 +224,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = linked.select("doc_id", *keys, "bands", "lanes") \
         .join(classes.select(*keys, "n_shingles", F.col("node").alias("doc_id")), [*keys, "doc_id"]).distinct()
     buckets = session.materialize(
-        nodes.select("doc_id", F.explode("bands").alias("band")), "buckets")
+        nodes.select("doc_id", "bands", F.posexplode("bands").alias("at", "band"))
+        .select("doc_id", "band", F.slice("bands", F.lit(1), F.col("at")).alias("earlier")), "buckets")
     ends = buckets.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")) \
         .where("a < last").select("band", "a")
     members = buckets.join(ends, "band").join(nodes.select("doc_id", "n_shingles", "lanes"), "doc_id")
@@ -226,20 +241,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = session.materialize(_shingle_sets(source.join(crowd, "doc_id", "left_semi"), settings), "sets")
     links = session.materialize(confirm(star, sets, settings), "links")
-    tried = star
-    for best_only in (True, False):
-        labels = components.label(links)
-        cross = _across(shared, labels, floor, settings).join(tried, ["a", "b"], "left_anti")
-        if best_only:
-            one = cross.groupBy("a", "cb").agg(F.max_by("b", "likeness").alias("b")).select("a", "b")
-            two = cross.groupBy("b", "ca").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
-            cross = session.materialize(one.union(two).distinct(), "pairs")
-            tried = tried.union(cross)
-        more = confirm(cross.select("a", "b"), sets, settings)
-        grown = session.materialize(links.unionByName(more), "links")
-        session.discard(links)
-        session.discard(labels)
-        links = grown
+    labels = components.label(links)
+    cross = session.materialize(_across(shared, labels, floor, settings).join(star, ["a", "b"], "left_anti"), "cross")
+    one = cross.groupBy("a", "cb").agg(F.max_by("b", "likeness").alias("b")).select("a", "b")
+    two = cross.groupBy("b", "ca").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
+    best = session.materialize(one.union(two).distinct(), "best")
+    links = _grown(links, confirm(best, sets, settings))
+    session.discard(labels)
+    labels = components.label(links)
+    rest = _labelled(_labelled(cross.select("a", "b"), labels, "a", "ca"), labels, "b", "cb") \
+        .where("ca <> cb").join(best, ["a", "b"], "left_anti")
+    links = _grown(links, confirm(rest.select("a", "b"), sets, settings))
+    for frame in (labels, cross, best):
+        session.discard(frame)
     edges = session.materialize(links.union(copies.select("node", "doc_id")).toDF("a", "b"), "edges")
     final = components.label(edges)
     for frame in (shared, sets, links, edges, classes):
