@@ -36,6 +36,9 @@ def main() -> None:
     parser.add_argument("--profits", default="base", choices=exits.VARIANTS)
     parser.add_argument("--cutoff", default="2025-07-07 08:30:00")
     args = parser.parse_args()
+    missing = [n for n in ("scaler", "selection") if args.job == "train" and not getattr(args, n)]
+    if missing:
+        parser.error("train needs " + ", ".join(f"--{n}" for n in missing))
 
     spark = configure(SparkSession.builder.appName("barsmith").getOrCreate())
     bars = jobs.prepare_bars(spark, args.bars, args.format, args.symbol)
@@ -44,11 +47,10 @@ def main() -> None:
     elif args.job == "scaler":
         jobs.build_scaler(spark, bars, args.output)
     else:
-        names = readers.read_selection(spark, args.selection) if args.selection else None
         result = jobs.train(
             spark, bars, writers.load_scaler(spark, args.scaler), args.cutoff,
-            _asset(spark, args.assets, args.symbol), selection=names,
-            variant=args.profits)
+            readers.read_selection(spark, args.selection),
+            _asset(spark, args.assets, args.symbol), variant=args.profits)
         jobs.save(result, args.output, args.symbol)
         result.summary.show(truncate=False)
 

@@ -56,14 +56,14 @@ class TrainingResult:
 
 
 def train(spark: SparkSession, bars: DataFrame, fitted: ScalerModel, cutoff: str,
-          asset: Asset = Asset(), rule: LabelRule = DEFAULT_LABELS,
-          selection: list[str] | None = None, variant: str = "base",
+          selection: list[str], asset: Asset = Asset(), rule: LabelRule = DEFAULT_LABELS,
+          variant: str = "base",
           boost: training.BoostParams = training.BoostParams(),
           forest: training.ForestParams = training.ForestParams()) -> TrainingResult:
     """Exits, labels, balancing, two models, evaluation and trades of the test part.
 
-    Only bars in the trading window take part, also as horizon of other bars. ``variant``
-    chooses the profits that labels and evaluation use.
+    Only bars in the trading window take part, also as horizon of other bars. ``selection`` lists
+    the features of the models, ``variant`` chooses the profits that labels and evaluation use.
     """
     configure(spark)
     window = materialize(clean.keep_window(bars), "window-bars")
@@ -76,7 +76,7 @@ def train(spark: SparkSession, bars: DataFrame, fitted: ScalerModel, cutoff: str
     truth = labels.select_labels(labels.add_candidates(rewarded, rule), rule)
 
     table = features.feature_table(window, keep=("bar_id",), order=order)
-    names = features.require_features(table, selection or features.default_selection())
+    names = features.require_features(table, selection)
     scaled = fitted.transform(table.select("bar_id", *names))
     ready = materialize(scaled.join(truth, "bar_id"), "model-table")
     parts = {s: ready.where(F.col("split") == s) for s in ("train", "val", "test")}

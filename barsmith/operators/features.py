@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barsmith.config import (
     BAR_ORDER, CATEGORICAL, CONTINUOUS, DAY_KEYS, DOMAINS, FEATURE_TABLE_WIDTH,
-    INPUT_FEATURES, LAGGED_CONTINUOUS, SELECTED_FEATURE_COUNT, feature_table_columns,
+    INPUT_FEATURES, LAGGED_CONTINUOUS, SELECTED_FEATURE_COUNT,
 )
 from barsmith.operators.ordered import RowOrder, ordered_columns, plan_order
 
@@ -67,13 +67,7 @@ def check_width(df: DataFrame, expected: int = FEATURE_TABLE_WIDTH) -> DataFrame
     return df
 
 
-def default_selection() -> list[str]:
-    """Stands in for a selection file: the first names of the contract after the date."""
-    return feature_table_columns()[1:SELECTED_FEATURE_COUNT + 1]
-
-
-def select_features(df: DataFrame, names: list[str],
-                    count: int = SELECTED_FEATURE_COUNT) -> tuple[list[str], list[str]]:
+def select_features(df: DataFrame, names: list[str]) -> tuple[list[str], list[str]]:
     """Listed names that exist, in list order, and the missing ones."""
     present = set(df.columns)
     found = [n for n in names if n in present]
@@ -82,7 +76,8 @@ def select_features(df: DataFrame, names: list[str],
 
 def require_features(df: DataFrame, names: list[str],
                      count: int = SELECTED_FEATURE_COUNT) -> list[str]:
-    found, missing = select_features(df, names, count)
-    if len(found) != count:
+    """The listed names; a list of another length, with repeats or with unknown names is an error."""
+    found, missing = select_features(df, names)
+    if len(found) != count or len(set(found)) != count or missing:
         raise ValueError(f"Expected {count} features, but got {len(found)}; missing: {missing}")
     return found

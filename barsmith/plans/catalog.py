@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.config import (
-    CONTINUOUS, DEFAULT_LABELS, INPUT_FEATURES, KEEP_ALL_LABELS, LAGGED_CONTINUOUS,
-    SCALED, TOP_TENTH_LABELS, LabelRule,
+    CATEGORICAL, CONTINUOUS, DEFAULT_LABELS, DOMAINS, INPUT_FEATURES, KEEP_ALL_LABELS, SCALED,
+    TOP_TENTH_LABELS, LabelRule, feature_table_columns,
 )
 from barsmith.functions import dates, money
 from barsmith.functions.money import Rules
@@ -72,7 +75,7 @@ def _with_copies(spark, folder):
 @register
 def dedup(spark, folder):
     out = clean.drop_identical(_with_copies(spark, folder))
-    return out.select("bar_id", "symbol", *CONTINUOUS, "MACDState", "HALowToEMAShort")
+    return out.select("bar_id", "symbol", *INPUT_FEATURES)
 
 
 @register
@@ -460,10 +463,11 @@ def stream_entry(spark, folder):
 
     def build(stream):
         prepared = entry.prepare(stream, fitted)
-        return entry.signals(prepared, keep=("RSI", "MACDState_3"))
+        codes = [f"{c}_{k}" for c in CATEGORICAL for k in DOMAINS[c]]
+        return entry.signals(prepared, keep=(*CONTINUOUS, *codes))
 
     out = jobs.replay(_arrivals(scored), build)
-    return rounded(out.drop("Date"), ["RSI"], 4)
+    return rounded(out.drop("Date"), CONTINUOUS, 4)
 
 
 @register
@@ -488,9 +492,7 @@ def csv_roundtrip(spark, folder):
     path = writers.write_table(table, scratch(spark, "features"))
     back = features.check_width(readers.read_features(spark, path))
     dated = clean.parse_dates(back)
-    return dated.select(
-        clock("Date"), *CONTINUOUS, *LAGGED_CONTINUOUS, "MACDState_1", "MACDState_lag1_16",
-        "HAGreenConsec_lag1_0", "HALowToEMAShort_lag1_3")
+    return dated.select(clock("Date"), *feature_table_columns()[1:])
 
 
 @register
@@ -526,7 +528,7 @@ def results_roundtrip(spark, folder):
 def _model_table(spark, folder) -> tuple[DataFrame, list[str]]:
     """Scaled feature table with labels, and the names of the selected features."""
     table = _feature_table(spark, folder)
-    names = features.require_features(table, features.default_selection())
+    names = features.require_features(table, views.selection())
     scaled = _fitted(views.bars(spark, folder)).transform(table.select("bar_id", *names))
     truth = labelled(spark, folder).select(
         "bar_id", "split", "label", "InWindow", "long_profit", "short_profit")
@@ -537,15 +539,42 @@ def _parts(table: DataFrame) -> list[DataFrame]:
     return [table.where(F.col("split") == s) for s in ("train", "val", "test")]
 
 
-SMALL_BOOST = training.BoostParams(max_depth=3, rounds=3, learning_rate=0.3)
-SMALL_FOREST = training.ForestParams(trees=8, max_depth=6)
-_SCORED = ("bar_id", "label", "p_long", "p_short", "p_none", "predicted")
+#: The one published setting the queries lower: boosting rounds, 800 to 1000 there.
+ROUNDS = 3
+BOOST = training.BoostParams(rounds=ROUNDS)
+
+
+def _sums_to_one() -> Column:
+    return F.abs(sum(map(F.col, evaluation.PROBABILITIES)) - 1) < 1e-9
+
+
+def _probability_list() -> tuple[Column, Column]:
+    every = F.array(*evaluation.PROBABILITIES)
+    return every, F.array_max(every)
+
+
+def _thresholded(scored: DataFrame) -> DataFrame:
+    """Every row with whether its decision is the threshold rule's, found from the largest value."""
+    every, top = _probability_list()
+    alone = F.size(F.filter(every, lambda p: p == top)) == 1
+    place = F.array_position(every, top) - 1
+    expected = F.when(alone & (top > 0.3), place).otherwise(2)
+    decided = evaluation.threshold_rule(scored)
+    return decided.select("bar_id", "label", _sums_to_one().alias("sums_to_one"),
+                          (F.col("predicted") == expected).alias("follows_rule"))
+
+
+def _blended() -> Column:
+    """Whether a decision is the blend's: No-Trade at the top wins ties, then Short."""
+    _, top = _probability_list()
+    expected = F.when(F.col("p_none") == top, 2).when(F.col("p_short") == top, 1).otherwise(0)
+    return F.col("predicted") == expected
 
 
 @register
 def feature_vector(spark, folder):
     table = _feature_table(spark, folder)
-    names = features.require_features(table, features.default_selection())
+    names = features.require_features(table, views.selection())
     values = vector_to_array("features")
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
     return rounded(training.feature_vector(table, names).select(
@@ -556,18 +585,16 @@ def feature_vector(spark, folder):
 def train_forest(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    model = training.fit_forest(train, names, SMALL_FOREST)
-    scored = training.forest_probabilities(model, test)
-    return scored.withColumn(
-        "predicted", money.blended_action(*map(F.col, evaluation.PROBABILITIES))).select(*_SCORED)
+    model = training.fit_forest(train, names)
+    return _thresholded(training.forest_probabilities(model, test))
 
 
 @register
 def train_boost(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    model = training.fit_boosted(train, names, SMALL_BOOST)
-    return evaluation.threshold_rule(model.transform(test)).select(*_SCORED)
+    model = training.fit_boosted(train, names, BOOST)
+    return _thresholded(model.transform(test))
 
 
 @register
@@ -575,8 +602,9 @@ def train_weighted(spark, folder):
     """Balanced weights, and rounds that stop on the validation part."""
     table, names = _model_table(spark, folder)
     train, val, test = _parts(table)
-    model = training.fit_weighted(train, val, names, SMALL_BOOST)
-    return evaluation.threshold_rule(model.transform(test)).select(*_SCORED)
+    model = training.fit_weighted(
+        train, val, names, replace(training.WEIGHTED_TRAINING, rounds=ROUNDS))
+    return _thresholded(model.transform(test))
 
 
 @register
@@ -585,8 +613,8 @@ def train_ensemble(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
     balanced = materialize(balance.oversample(train, names).rows, "balanced")
-    boosted = training.fit_boosted(balanced, names, SMALL_BOOST)
-    forest = training.fit_forest(balanced, names, SMALL_FOREST)
+    boosted = training.fit_boosted(balanced, names, BOOST)
+    forest = training.fit_forest(balanced, names)
     return evaluation.summary(training.score_ensemble(test, boosted, forest))
 
 
@@ -594,11 +622,8 @@ def train_ensemble(spark, folder):
 def tune(spark, folder):
     table, names = _model_table(spark, folder)
     train, val, _ = _parts(table)
-    small = [
-        training.BoostParams(max_depth=d, learning_rate=r, rounds=2)
-        for d, r in ((2, 0.1), (4, 0.3))
-    ]
-    results = training.tune(train, val, names, small)
+    listed = [replace(c, rounds=ROUNDS) for c in training.TUNING_COMBINATIONS]
+    results = training.tune(train, val, names, listed)
     return spark.createDataFrame(results)
 
 
@@ -606,29 +631,37 @@ def tune(spark, folder):
 def model_roundtrip(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    forest = training.fit_forest(train, names, SMALL_FOREST)
+    forest = training.fit_forest(train, names)
     path = writers.save_model(forest, scratch(spark, "forest"))
-    boosted = training.fit_boosted(train, names, SMALL_BOOST)
+    boosted = training.fit_boosted(train, names, BOOST)
     loaded = training.BoostedModel.load(boosted.save(scratch(spark, "boosted")))
-    return training.score_ensemble(test, loaded, writers.load_model(path)).select(*_SCORED)
+    own = F.struct(*evaluation.PROBABILITIES, "predicted")
+    fitted = training.score_ensemble(test, boosted, forest).select(*test.columns, own.alias("fitted"))
+    stored = training.score_ensemble(fitted, loaded, writers.load_model(path))
+    return stored.select(
+        "bar_id", "label", _sums_to_one().alias("sums_to_one"), _blended().alias("follows_rule"),
+        (F.col("fitted") == own).alias("same_as_fitted"))
 
 
-_ROUTE_KEYS = exit_scores.TRADE_KEY[:2]
 _PREDICTORS = ["RSI", "MACD", "HABodyRangeRatio", "MyWAZLTTrend"]
 
 
 @register
 def routed_scores(spark, folder):
-    """Requests scored by the model of their trade type and designation; PV3 has none."""
+    """Requests scored by the model of their type, designation and bars; PV3 has none.
+
+    ``consistent``: zeros where there is a reason, else probabilities over the known classes.
+    """
     snaps = materialize(views.snapshots(spark, folder), "snapshots")
     best = F.array_position("probabilities", F.array_max("probabilities")).cast("int") - 1
     history = snaps.withColumn("label", best)
 
-    def fit(kind: str, name: str):
-        own = history.where((F.col("TradeType") == kind) & (F.col("TradeDesignation") == name))
-        return training.fit_forest(own, _PREDICTORS, training.ForestParams(trees=3, max_depth=3))
+    def fit(*values):
+        own = history.where(reduce(and_, [F.col(k) == v for k, v in zip(exit_scores.TRADE_KEY, values)]))
+        return training.fit_forest(own, _PREDICTORS)
 
-    keys = [(kind, name) for kind in ("Long", "Short") for name in ("PV1", "PV2")]
+    known = snaps.where("TradeDesignation <> 'PV3'").select(*exit_scores.TRADE_KEY).distinct()
+    keys = sorted(map(tuple, known.collect()))  # one per model, not per row
     models = training.run_together([lambda k=k: fit(*k) for k in keys])
 
     def scorer(model):
@@ -637,6 +670,12 @@ def routed_scores(spark, folder):
 
     matched = exit_scores.match_requests(views.requests(spark, folder), snaps, _PREDICTORS)
     routed = training.route(
-        matched, {k: scorer(m) for k, m in zip(keys, models, strict=True)}, _ROUTE_KEYS)
+        matched, {k: scorer(m) for k, m in zip(keys, models, strict=True)}, exit_scores.TRADE_KEY)
     out = exit_scores.map_classes(routed, views.class_map(spark))
-    return out.select("request_id", "red", "yellow", "green", "error")
+    total = F.col("red") + F.col("yellow") + F.col("green")
+    consistent = (
+        F.when(F.col("error").isNotNull(), F.greatest(*(F.abs(c) for c in ("red", "yellow", "green"))) == 0)
+        .when(F.col("TradeType") == "Long", F.abs(total - 1) < 1e-9)
+        .otherwise((F.col("yellow") == 0) & total.between(0, 1 + 1e-9))
+    )
+    return out.select("request_id", *exit_scores.TRADE_KEY, "error", consistent.alias("consistent"))

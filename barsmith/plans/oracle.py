@@ -86,10 +86,14 @@ SELECT *, {lags} FROM {source}
 WINDOW w AS (PARTITION BY symbol, trading_day ORDER BY "Date", bar_id)"""}
 
 
-def feature_step() -> dict[str, str]:
-    flags = ", ".join(
+def indicator_sql(names: list[str]) -> str:
+    return ", ".join(
         f"CASE WHEN {q(n)} = {k} THEN {num(1.0)} ELSE {num(0.0)} END AS {q(f'{n}_{k}')}"
-        for c in CATEGORICAL for n in (c, f"{c}_lag1") for k in DOMAINS[c])
+        for n in names for k in DOMAINS[n.removesuffix("_lag1")])
+
+
+def feature_step() -> dict[str, str]:
+    flags = indicator_sql([n for c in CATEGORICAL for n in (c, f"{c}_lag1")])
     return lag_step() | {"features": f"""
 SELECT "Date", bar_id, {csv(CONTINUOUS)}, {csv(LAGGED_CONTINUOUS)}, {flags} FROM lagged"""}
 
@@ -420,6 +424,12 @@ def excursion(side: str) -> str:
     return CLAMP_RULES.value(f"{price} - open1" if side == "long" else f"open1 - {price}")
 
 
+def model_sql(extra: str = "") -> str:
+    """Scored rows are the labelled bars of the test part; the checks on each must hold."""
+    return with_(LABELS, f"""SELECT bar_id, label, true AS sums_to_one, true AS follows_rule{extra}
+FROM labelled WHERE split = 'test'""")
+
+
 def if_valid(expr: str, alias: str) -> str:
     return f"CASE WHEN is_valid THEN {expr} ELSE {num(0)} END AS {alias}"
 
@@ -443,8 +453,7 @@ FROM counts UNION ALL SELECT 1, n1, n0 = 0 AND n1 > 0 FROM counts
 UNION ALL SELECT 2, n2, n0 + n1 = 0 AND n2 > 0 FROM counts"""),
     "clean_bars": with_(PARSED, f"""SELECT event_id, {clock('Date')}, {IN_WINDOW} AS "InWindow",
   {DAY_TEXT} FROM parsed WHERE "Date" IS NOT NULL AND {ON_MARK}"""),
-    "dedup": with_(COPIES, f"""SELECT bar_id, symbol, {csv(CONTINUOUS)}, "MACDState",
-  "HALowToEMAShort" FROM dedup"""),
+    "dedup": with_(COPIES, f"SELECT bar_id, symbol, {csv(INPUT_FEATURES)} FROM dedup"),
     "window_flag": with_(BARS, f"""SELECT bar_id, {clock('Date')}, {DAY_TEXT},
   {IN_WINDOW} AS "InWindow" FROM bars"""),
     "day_count": with_(WINDOW_BARS, "SELECT count(DISTINCT trading_day) AS days FROM wbars"),
@@ -596,18 +605,25 @@ FROM requests r LEFT JOIN firsts f ON r.tt = f.tt AND r.td = f.td AND r.bs = f.b
     THEN 'bars since entry is not a number' END AS error FROM parts"""),
     "stream_entry": with_(
         BARS | score_step("bars") | fitted_step("bars"),
-        f"""SELECT bar_id, {IN_WINDOW} AS "InWindow", {rnd(scaled('RSI'), 'RSI', 4)},
-  CASE WHEN "MACDState" = 3 THEN {num(1)} ELSE {num(0)} END AS "MACDState_3",
+        f"""SELECT bar_id, {IN_WINDOW} AS "InWindow",
+  {', '.join(rnd(scaled(c), c, 4) for c in CONTINUOUS)}, {indicator_sql(CATEGORICAL)},
   predicted AS action, greatest(p_long, p_short, p_none) AS confidence
 FROM decided, fitted WHERE {ON_MARK}"""),
     "stream_lag": with_(
         WINDOW_BARS | lag_step(), f"SELECT bar_id, {LAGS}, false AS late FROM lagged"),
     "csv_roundtrip": with_(WINDOW_BARS | feature_step(), f"""SELECT {clock('Date')},
-  {csv(CONTINUOUS)}, {csv(LAGGED_CONTINUOUS)}, "MACDState_1", "MACDState_lag1_16",
-  "HAGreenConsec_lag1_0", "HALowToEMAShort_lag1_3" FROM features"""),
+  {csv(feature_table_columns()[1:])} FROM features"""),
     "raw_roundtrip": with_(BARS, f"""SELECT bar_id, symbol, {clock('Date')}, {csv(INPUT_FEATURES)}
 FROM bars"""),
     "feature_vector": with_(
         WINDOW_BARS | feature_step(), f"""SELECT bar_id, 76 AS width,
   {rnd(' + '.join(q(c) for c in feature_table_columns()[1:77]), 'total')} FROM features"""),
+    "train_forest": model_sql(),
+    "train_boost": model_sql(),
+    "train_weighted": model_sql(),
+    "model_roundtrip": model_sql(", true AS same_as_fitted"),
+    "routed_scores": with_(SNAPSHOTS | REQUESTS, """SELECT request_id, tt AS "TradeType",
+  td AS "TradeDesignation", bs AS "BarsSinceTradeEntry", CASE WHEN NOT EXISTS (
+    SELECT 1 FROM snapshots s WHERE s.tt = r.tt AND s.td = r.td AND s.bs = r.bs) THEN 'no snapshot'
+  WHEN td = 'PV3' THEN 'no model' END AS error, true AS consistent FROM requests r"""),
 }

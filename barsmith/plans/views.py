@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.config import BAR_ORDER, CATEGORICAL, DAY_KEYS
+from barsmith.config import (
+    BAR_ORDER, CATEGORICAL, DAY_KEYS, SELECTED_FEATURE_COUNT, feature_table_columns,
+)
 from barsmith.operators.ordered import (
     MAX_GROUP_ROWS, RowOrder, ordered_columns, plan_order,
 )
@@ -93,6 +95,11 @@ def bars(spark: SparkSession, folder: str, max_group_rows: int = MAX_GROUP_ROWS)
         events, DAY_KEYS, ("ts", "event_id"), max_group_rows)))
 
 
+def selection() -> list[str]:
+    """A selection list for queries and tests; jobs take theirs from a file."""
+    return feature_table_columns()[1:SELECTED_FEATURE_COUNT + 1]
+
+
 # Trading parameters of the five derived instruments.
 ASSET_ROWS = [
     ("VIEW", 50.0, 0.25, 12.5, 150.0, 3.0, 100.0, 150.0),

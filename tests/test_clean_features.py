@@ -91,13 +91,16 @@ def test_feature_table_needs_one_shuffle(spark):
 
 def test_selection_reports_missing_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
-    assert features.select_features(df, ["c", "x", "a"], 2) == (["c", "a"], ["x"])
+    assert features.select_features(df, ["c", "x", "a"]) == (["c", "a"], ["x"])
     assert features.require_features(df, ["c", "a"], 2) == ["c", "a"]
     with pytest.raises(ValueError, match="missing: .'x'."):
         features.require_features(df, ["c", "x"], 2)
+    for wrong in (["c"], ["a", "b", "c"], ["a", "a"], ["a", "b", "x"]):
+        with pytest.raises(ValueError, match="Expected 2 features"):
+            features.require_features(df, wrong, 2)
     with pytest.raises(ValueError, match="Expected 333 columns, found 3"):
         features.check_width(df)
-    assert len(features.default_selection()) == 76
+    assert len(views.selection()) == 76
 
 
 def test_constant_column_scales_to_zero(spark):

@@ -20,7 +20,7 @@ def test_files_to_models(spark, tmp_path):
     assert writers.load_scaler(spark, str(tmp_path / "scaler")) == fitted
 
     result = jobs.train(
-        spark, bars, fitted, views.CUTOFF,
+        spark, bars, fitted, views.CUTOFF, views.selection(),
         boost=training.BoostParams(max_depth=2, rounds=2, learning_rate=0.3),
         forest=training.ForestParams(trees=3, max_depth=3))
     summary = result.summary.first()

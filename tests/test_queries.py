@@ -7,10 +7,7 @@ import check
 from conftest import SF
 
 # The same operators run on small tables in test_training and test_labels_balance.
-HEAVY = {
-    "train_ensemble", "model_roundtrip", "tune", "train_weighted", "train_forest", "train_boost",
-    "smote_rows",
-}
+HEAVY = {"train_ensemble", "tune"}
 
 
 @pytest.fixture(scope="module")
