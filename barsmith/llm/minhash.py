@@ -31,7 +31,6 @@ from barsmith import session
 from barsmith.llm import components, words
 
 LANE_BITS = 2
-MARGIN = 0.075
 
 
 @dataclass(frozen=True)
@@ -41,6 +40,7 @@ class Settings:
     rows: int = 5
     hashes: int = 640  # minima of the estimate; the bands use the first of them
     percent: int = 85  # links have 100 * intersection >= percent * union
+    margin: float = 0.075  # estimates this far below the threshold are still confirmed
     seed: int = 1
 
     @property
@@ -232,7 +232,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = session.materialize(members, "shared")
     session.discard(buckets)
 
-    floor = settings.percent / 100 - MARGIN
+    floor = settings.percent / 100 - settings.margin
     centre = shared.where("doc_id = a").select("band", F.col("lanes").alias("centre"))
     star = shared.where("doc_id > a").join(centre.dropDuplicates(["band"]), "band") \
         .where(estimate(F.col("lanes"), F.col("centre"), settings) >= floor) \
