@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -539,11 +538,6 @@ def _parts(table: DataFrame) -> list[DataFrame]:
     return [table.where(F.col("split") == s) for s in ("train", "val", "test")]
 
 
-#: The one published setting the queries lower: boosting rounds, 800 to 1000 there.
-ROUNDS = 3
-BOOST = training.BoostParams(rounds=ROUNDS)
-
-
 def _sums_to_one() -> Column:
     return F.abs(sum(map(F.col, evaluation.PROBABILITIES)) - 1) < 1e-9
 
@@ -593,7 +587,7 @@ def train_forest(spark, folder):
 def train_boost(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    model = training.fit_boosted(train, names, BOOST)
+    model = training.fit_boosted(train, names)
     return _thresholded(model.transform(test))
 
 
@@ -602,8 +596,7 @@ def train_weighted(spark, folder):
     """Balanced weights, and rounds that stop on the validation part."""
     table, names = _model_table(spark, folder)
     train, val, test = _parts(table)
-    model = training.fit_weighted(
-        train, val, names, replace(training.WEIGHTED_TRAINING, rounds=ROUNDS))
+    model = training.fit_weighted(train, val, names)
     return _thresholded(model.transform(test))
 
 
@@ -613,7 +606,7 @@ def train_ensemble(spark, folder):
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
     balanced = materialize(balance.oversample(train, names).rows, "balanced")
-    boosted = training.fit_boosted(balanced, names, BOOST)
+    boosted = training.fit_boosted(balanced, names)
     forest = training.fit_forest(balanced, names)
     return evaluation.summary(training.score_ensemble(test, boosted, forest))
 
@@ -622,9 +615,7 @@ def train_ensemble(spark, folder):
 def tune(spark, folder):
     table, names = _model_table(spark, folder)
     train, val, _ = _parts(table)
-    listed = [replace(c, rounds=ROUNDS) for c in training.TUNING_COMBINATIONS]
-    results = training.tune(train, val, names, listed)
-    return spark.createDataFrame(results)
+    return spark.createDataFrame(training.tune(train, val, names))
 
 
 @register
@@ -633,7 +624,7 @@ def model_roundtrip(spark, folder):
     train, _, test = _parts(table)
     forest = training.fit_forest(train, names)
     path = writers.save_model(forest, scratch(spark, "forest"))
-    boosted = training.fit_boosted(train, names, BOOST)
+    boosted = training.fit_boosted(train, names)
     loaded = training.BoostedModel.load(boosted.save(scratch(spark, "boosted")))
     own = F.struct(*evaluation.PROBABILITIES, "predicted")
     fitted = training.score_ensemble(test, boosted, forest).select(*test.columns, own.alias("fitted"))
