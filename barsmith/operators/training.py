@@ -10,6 +10,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, RandomForestClassifier,
@@ -114,10 +115,41 @@ def run_together(tasks: list[Callable]) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
+def tree_count(losses: list[float], patience: int) -> int:
+    """Trees up to the least loss before ``patience`` rounds without a smaller one."""
+    best, kept = float("inf"), 0
+    for n, loss in enumerate(losses, 1):
+        if loss < best:
+            best, kept = loss, n
+        elif n - kept >= patience:
+            break
+    return max(kept, 1)
+
+
+def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
+    """The model after its first ``count`` rounds."""
+    java, context = model._java_obj, SparkContext._active_spark_context
+    package = context._jvm.org.apache.spark.ml
+    trees = context._gateway.new_array(package.regression.DecisionTreeRegressionModel, count)
+    weights = context._gateway.new_array(context._jvm.double, count)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:count], model.treeWeights[:count])):
+        trees[i], weights[i] = tree, weight
+    cut = package.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    out = model._copyValues(GBTClassificationModel(cut))
+    out._transfer_params_to_java()
+    return out
+
+
 def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = BoostParams(),
                 weight: str | None = None, validation: DataFrame | None = None,
-                tolerance: float = 0.01) -> BoostedModel:
-    """Fit one boosted model per class; with ``validation`` rounds stop when it stops improving."""
+                tolerance: float | None = None, patience: int = 50) -> BoostedModel:
+    """Fit one boosted model per class.
+
+    With ``validation`` all rounds are fitted and each model keeps its trees up to the least loss
+    there, sought until ``patience`` rounds bring no smaller one. With a ``tolerance`` fitting ends
+    at the first round that gains less than this share instead.
+    """
     _allow_checkpoints(train)
     data = train.withColumn("_holdout", F.lit(False))
     if validation is not None:
@@ -133,7 +165,7 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
         options = {}
         if weight:
             options["weightCol"] = weight
-        if validation is not None:
+        if validation is not None and tolerance is not None:
             options |= {"validationIndicatorCol": "_holdout", "validationTol": tolerance}
         estimator = GBTClassifier(
             featuresCol="features", labelCol="_target", maxDepth=params.max_depth,
@@ -142,8 +174,12 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
             featureSubsetStrategy=str(params.column_share),
             seed=params.seed, cacheNodeIds=True, checkpointInterval=10, **options,
         )
-        return estimator.fit(
-            prepared.withColumn("_target", (F.col("label") == positive).cast("double")))
+        rows = prepared.withColumn("_target", (F.col("label") == positive).cast("double"))
+        if validation is None or tolerance is not None:
+            return estimator.fit(rows)
+        model = estimator.fit(rows.where("NOT _holdout"))
+        losses = model.evaluateEachIteration(rows.where("_holdout"))
+        return first_trees(model, tree_count(list(losses), patience))
 
     try:
         models = run_together([lambda c=c: fit_one(c) for c in CLASSES])
@@ -153,10 +189,11 @@ def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = Boo
 
 
 def fit_weighted(train: DataFrame, validation: DataFrame, features: list[str],
-                 params: BoostParams = WEIGHTED_TRAINING, tolerance: float = 0.01) -> BoostedModel:
-    """Balanced weights and early stopping on the validation part."""
+                 params: BoostParams = WEIGHTED_TRAINING, tolerance: float | None = None,
+                 patience: int = 50) -> BoostedModel:
+    """Balanced weights, and trees up to the best round on the validation part."""
     weighted = balance.add_weights(train, balance.class_weights(train))
-    return fit_boosted(weighted, features, params, "weight", validation, tolerance)
+    return fit_boosted(weighted, features, params, "weight", validation, tolerance, patience)
 
 
 def fit_forest(train: DataFrame, features: list[str],

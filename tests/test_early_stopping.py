@@ -1,0 +1,35 @@
+"""The tree count follows the validation loss with a patience in rounds."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barsmith.operators import training
+
+
+def test_tree_count_waits_for_late_gains():
+    slow = [1 - i / 1000 for i in range(200)]  # no round gains 1 %
+    assert training.tree_count(slow, 50) == 200
+    assert training.tree_count([1.0, 0.9] + [0.95] * 49 + [0.8], 50) == 52
+    assert training.tree_count([1.0, 0.9] + [0.95] * 50 + [0.8], 50) == 2
+    assert training.tree_count([], 50) == 1
+
+
+def test_small_gains_do_not_end_training(spark, tmp_path):
+    """A learning rate whose rounds gain less than 1 % each: all rounds are kept, as they help."""
+    rng = random.Random(3)
+    rows = [(i, i % 3, rng.gauss(4 * (i % 3), .7), rng.gauss(0, 1)) for i in range(240)]
+    df = spark.createDataFrame(rows, "bar_id long, label int, a double, b double")
+    train, val = df.where("bar_id % 4 <> 0"), df.where("bar_id % 4 = 0")
+    params = training.BoostParams(max_depth=2, rounds=8, learning_rate=0.002)
+    model = training.fit_weighted(train, val, ["a", "b"], params)
+    assert [m.getNumTrees for m in model.models] == [8, 8, 8]
+    short = training.BoostedModel(tuple(training.first_trees(m, 3) for m in model.models), model.features)
+    for cut, whole, label in zip(short.models, model.models, range(3)):
+        data = training.feature_vector(val, ["a", "b"]).withColumn("weight", F.lit(1.0)) \
+            .withColumn("_target", (F.col("label") == label).cast("double"))
+        assert cut.evaluateEachIteration(data) == pytest.approx(whole.evaluateEachIteration(data)[:3])
+    again = training.BoostedModel.load(short.save(str(tmp_path / "m")))
+    assert [m.getNumTrees for m in again.models] == [3, 3, 3]
+    assert sorted(map(tuple, again.transform(val).collect())) == sorted(map(tuple, short.transform(val).collect()))
