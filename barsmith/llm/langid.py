@@ -35,7 +35,8 @@ BLOCK_TEXTS = 256
 class Settings:
     dims: int = 2048           # half for bigrams, half for trigrams
     sample_rows: int = 800     # labelled rows per language to fit on, in expectation
-    sample_languages: int = 64  # most frequent languages that are learned
+    sample_total: int = 51_200  # labelled rows of all languages; with more than 64 they share it ...
+    least_rows: int = 20       # ... down to this many rows of each
     cost: float = 1.0
     rounds: int = 30
     families: dict[str, str] = field(default_factory=lambda: dict(FAMILIES))
@@ -157,17 +158,21 @@ class Model:
 
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, settings: Settings = Settings()) -> Model:
-    """Fit on about sample_rows rows of each language, chosen by a hash of id and text."""
+    """Fit on about sample_rows rows of each language, chosen by a hash of id and text.
+
+    Every language is learned; the number of machines grows with the square of the languages.
+    """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                            F.col(lang_col).cast("string").alias("lang")) \
         .where("text IS NOT NULL AND lang IS NOT NULL")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(settings.sample_languages).collect()}
+              .orderBy("lang").collect()}
     empty = Duel([], [])
     if not counts:
         return Model(settings.dims, empty, {})
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, settings.sample_rows / n)])
-    chosen = rows.where(F.col("lang").isin(list(counts))).where(
+    most = max(settings.least_rows, min(settings.sample_rows, settings.sample_total // len(counts)))
+    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, most / n)])
+    chosen = rows.where(
         F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) / 1_000_003 < F.element_at(share, F.col("lang")))
     dims = settings.dims
 
