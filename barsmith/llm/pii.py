@@ -167,7 +167,6 @@ class Graph:
 @dataclass(frozen=True)
 class Settings:
     sample_documents: int = 2000  # documents with tokens to learn from, in expectation
-    sample_tokens: int = 50_000
     steps: int = 300
     penalty: float = 1e-3
     passes: int = 15
@@ -225,19 +224,24 @@ def _pseudo_rows(graph: Graph) -> list[tuple]:
     return list(zip(graph.features, label, side[0], side[1], skip[0], skip[1]))
 
 
-def fit_field(rows: list[tuple], settings: Settings) -> Field:
-    """Weights of greatest penalised pseudo-likelihood, by momentum steps from zero."""
+def fit_field(rows: list[tuple], settings: Settings, copies: list[int] | None = None) -> Field:
+    """Weights of greatest penalised pseudo-likelihood, by momentum steps from zero.
+
+    With ``copies`` a row counts as often as it says.
+    """
     m, width = len(LABELS), len(shape("0"))
     w, step, same = np.zeros((width, m)), np.zeros((m, m)), np.array([1.0, 1.0])
     if not rows:
         return Field(w, step, same)
     x, y, left, right, one, two = (np.array(c) for c in zip(*rows))
     target = np.eye(m)[y.astype(int)]
+    part = np.ones(len(x)) if copies is None else np.array(copies, float)
+    part = (part / part.sum())[:, None]
     speed = [np.zeros_like(w), np.zeros_like(step), np.zeros_like(same)]
     for _ in range(settings.steps):
         score = x @ w + left @ step + right @ step.T + same[0] * one + same[1] * two
         p = np.exp(score - score.max(axis=1, keepdims=True))
-        error = (target - p / p.sum(axis=1, keepdims=True)) / len(x)
+        error = (target - p / p.sum(axis=1, keepdims=True)) * part
         gradient = [x.T @ error - settings.penalty * w,
                     left.T @ error + error.T @ right - settings.penalty * step,
                     np.array([(one * error).sum(), (two * error).sum()]) - settings.penalty * same]
@@ -265,16 +269,17 @@ def fit(docs: DataFrame, text_col: str = "text", settings: Settings = Settings()
                     rows.append(np.concatenate([row[0], [row[1]], *row[2:]]).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["row"])
 
-    # Equal rows say the same: they are counted once per distinct row and number of copies up to a limit.
-    found = chosen.mapInArrow(run, "row array<double>").orderBy(F.xxhash64("row")).limit(settings.sample_tokens).collect()
+    # Equal rows say the same: only the distinct ones are collected, with the number of their copies.
+    found = sorted((list(r["row"]), r["copies"]) for r in chosen.mapInArrow(run, "row array<double>")
+                   .groupBy("row").agg(F.count("*").alias("copies")).collect())
     width, m = len(shape("0")), len(LABELS)
     cut = np.cumsum([width, 1, m, m, m, m])
     rows = []
-    for r in found:
-        v = np.array(r["row"])
+    for row, _ in found:
+        v = np.array(row)
         a, b, c, d, e, f = np.split(v, cut[:-1])
         rows.append((a, b[0], c, d, e, f))
-    return fit_field(rows, settings)
+    return fit_field(rows, settings, [n for _, n in found])
 
 
 #: Digits that one mention can have; mentions do not join beyond it.
