@@ -30,9 +30,10 @@ BITMAP_BITS = 24
 class Settings:
     masks: tuple[str, ...] = ("11111", "1101011", "10110011", "11001000111")
     reach: int = 24      # words around a surviving seed that can belong to an overlap
-    least_words: int = 8     # an overlap has this many equal words ...
+    least_words: int = 8     # an overlap has this many equal words, or all of a shorter item ...
     least_share: float = 0.5  # ... and this share of the item's words, or
-    enough_words: int = 25   # this many equal words whatever the item's length
+    enough_words: int = 25   # this many equal words whatever the item's length, or
+    copied_words: int = 13   # an unbroken run of this many
     identity: float = 0.8    # share of equal words within the overlap
 
     @property
@@ -164,14 +165,21 @@ def best_run(equal: np.ndarray, identity: float) -> tuple[int, int]:
     return start, end
 
 
+def longest_copy(equal: np.ndarray) -> int:
+    """Length of the longest run of equal words."""
+    ends = np.flatnonzero(np.concatenate([[True], ~equal, [True]]))
+    return int(np.diff(ends).max()) - 1
+
+
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per document and test item that overlap: doc_id, item_id, first_word and end_word in
     the document (words of letters and digits, A-Z as a-z), equal_words, item_words.
 
     The overlap is the longest of the diagonals' best runs (then the first). A null or empty text on
-    either side overlaps with nothing; an item with fewer words than the shortest mask cannot be
-    found. Rows that repeat a document or an item give the same pair once. A null doc_id is a
+    either side overlaps with nothing; an item with fewer words than the shortest mask (5) cannot be
+    found, one with fewer than `least_words` only if all its words are copied. Otherwise half of the
+    item's words and `least_words`, `enough_words`, or `copied_words` in one run are needed. Rows that repeat a document or an item give the same pair once. A null doc_id is a
     document of its own kind: its rows are compared like others and share the null id.
     """
     from barsmith import session
@@ -204,8 +212,8 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
                 equal = a[low - first : high - first] == b[low - shift : high - shift]
                 s, e = best_run(equal, settings.identity)
                 n = int(equal[s:e].sum())
-                need = max(settings.least_words, settings.least_share * len(b))
-                if n >= min(need, settings.enough_words):
+                need = max(min(settings.least_words, len(b)), settings.least_share * len(b))
+                if n >= min(need, settings.enough_words) or longest_copy(equal) >= settings.copied_words:
                     out.append((doc, item, low + s, low + e, n, len(b)))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=kind.names, dtype=object), schema=kind,
                                              preserve_index=False)
