@@ -1,8 +1,4 @@
-"""Two classifiers over the feature table: boosted trees and a random forest.
-
-Spark's boosted trees are binary, so the three-class model is one boosted model per class
-with the positive probabilities scaled to sum 1.
-"""
+"""Two classifiers over the feature table: boosted trees and a random forest."""
 
 from __future__ import annotations
 
@@ -10,32 +6,19 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.operators import balance, evaluation
+from barsmith.operators import balance, boosting, evaluation
+from barsmith.operators.boosting import BoostedModel, BoostParams
 from barsmith.operators.evaluation import CLASSES, PROBABILITIES
 from barsmith.session import scratch, shared_dir
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    max_depth: int = 5
-    learning_rate: float = 0.05
-    rounds: int = 1000
-    min_child_rows: int = 3
-    row_share: float = 0.9
-    column_share: float = 0.8
-    seed: int = 42
-
-
 @dataclass(frozen=True)
 class ForestParams:
     trees: int = 200
@@ -68,132 +51,24 @@ def feature_vector(df: DataFrame, features: list[str], output: str = "features")
         inputCols=features, outputCol=output, handleInvalid="error").transform(df)
 
 
-@dataclass(frozen=True)
-class BoostedModel:
-    """One binary model per class; transforms to three probabilities."""
-
-    models: tuple[GBTClassificationModel, ...]
-    features: tuple[str, ...]
-
-    def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
-        scored = feature_vector(df, list(self.features), "_features")
-        raw = [f"_boost{c}" for c in CLASSES]
-        for column, model in zip(raw, self.models, strict=True):
-            one = model.copy({
-                model.featuresCol: "_features", model.probabilityCol: "_probability",
-                model.rawPredictionCol: "", model.predictionCol: "",
-            }).transform(scored)
-            scored = one.withColumn(
-                column, F.get(vector_to_array("_probability"), F.lit(1))).drop("_probability")
-        total = F.col(raw[0]) + F.col(raw[1]) + F.col(raw[2])
-        return scored.select(
-            *df.columns,
-            *[
-                F.when(total > 0, F.col(c) / total).otherwise(F.lit(1.0 / len(raw)))
-                .alias(prefix + p)
-                for c, p in zip(raw, PROBABILITIES, strict=True)
-            ],
-        )
-
-    def save(self, path: str) -> str:
-        for c, model in zip(CLASSES, self.models, strict=True):
-            model.write().overwrite().save(f"{path}/class{c}")
-        VectorAssembler(inputCols=list(self.features), outputCol="features").write().overwrite().save(
-            f"{path}/features")
-        return path
-
-    @classmethod
-    def load(cls, path: str) -> BoostedModel:
-        models = tuple(GBTClassificationModel.load(f"{path}/class{c}") for c in CLASSES)
-        names = VectorAssembler.load(f"{path}/features").getInputCols()
-        return cls(models, tuple(names))
-
-
 def run_together(tasks: list[Callable]) -> list:
     """Run independent fits at the same time; their jobs share the cluster."""
     with ThreadPoolExecutor(len(tasks)) as pool:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def tree_count(losses: list[float], patience: int) -> int:
-    """Trees up to the least loss before ``patience`` rounds without a smaller one."""
-    best, kept = float("inf"), 0
-    for n, loss in enumerate(losses, 1):
-        if loss < best:
-            best, kept = loss, n
-        elif n - kept >= patience:
-            break
-    return max(kept, 1)
-
-
-def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
-    """The model after its first ``count`` rounds."""
-    java, context = model._java_obj, SparkContext._active_spark_context
-    package = context._jvm.org.apache.spark.ml
-    trees = context._gateway.new_array(package.regression.DecisionTreeRegressionModel, count)
-    weights = context._gateway.new_array(context._jvm.double, count)
-    for i, (tree, weight) in enumerate(zip(java.trees()[:count], model.treeWeights[:count])):
-        trees[i], weights[i] = tree, weight
-    cut = package.classification.GBTClassificationModel(
-        java.uid(), trees, weights, java.numFeatures(), java.numClasses())
-    out = model._copyValues(GBTClassificationModel(cut))
-    out._transfer_params_to_java()
-    return out
-
-
 def fit_boosted(train: DataFrame, features: list[str], params: BoostParams = BoostParams(),
-                weight: str | None = None, validation: DataFrame | None = None,
-                tolerance: float | None = None, patience: int = 50) -> BoostedModel:
-    """Fit one boosted model per class.
-
-    With ``validation`` all rounds are fitted and each model keeps its trees up to the least loss
-    there, sought until ``patience`` rounds bring no smaller one. With a ``tolerance`` fitting ends
-    at the first round that gains less than this share instead.
-    """
-    _allow_checkpoints(train)
-    data = train.withColumn("_holdout", F.lit(False))
-    if validation is not None:
-        data = data.unionByName(
-            validation.withColumn("_holdout", F.lit(True)), allowMissingColumns=True)
-    extra = [weight] if weight else []
-    if weight:
-        data = data.withColumn(weight, F.coalesce(F.col(weight), F.lit(1.0)))
-    prepared = feature_vector(data, features).select("features", "label", "_holdout", *extra)
-    prepared = prepared.persist()
-
-    def fit_one(positive: int) -> GBTClassificationModel:
-        options = {}
-        if weight:
-            options["weightCol"] = weight
-        if validation is not None and tolerance is not None:
-            options |= {"validationIndicatorCol": "_holdout", "validationTol": tolerance}
-        estimator = GBTClassifier(
-            featuresCol="features", labelCol="_target", maxDepth=params.max_depth,
-            stepSize=params.learning_rate, maxIter=params.rounds,
-            minInstancesPerNode=params.min_child_rows, subsamplingRate=params.row_share,
-            featureSubsetStrategy=str(params.column_share),
-            seed=params.seed, cacheNodeIds=True, checkpointInterval=10, **options,
-        )
-        rows = prepared.withColumn("_target", (F.col("label") == positive).cast("double"))
-        if validation is None or tolerance is not None:
-            return estimator.fit(rows)
-        model = estimator.fit(rows.where("NOT _holdout"))
-        losses = model.evaluateEachIteration(rows.where("_holdout"))
-        return first_trees(model, tree_count(list(losses), patience))
-
-    try:
-        models = run_together([lambda c=c: fit_one(c) for c in CLASSES])
-    finally:
-        prepared.unpersist()
-    return BoostedModel(tuple(models), tuple(features))
+                weight: str | None = None, validation: DataFrame | None = None, patience: int = 50) -> BoostedModel:
+    """Boosted trees for three classes. With ``validation`` training ends after ``patience`` rounds without
+    a smaller loss there and keeps the rounds up to the least one."""
+    return boosting.fit_models(train, features, [params], weight, validation, patience)[0]
 
 
 def fit_weighted(train: DataFrame, validation: DataFrame, features: list[str],
-                 params: BoostParams = WEIGHTED_TRAINING, tolerance: float | None = None,
-                 patience: int = 50) -> BoostedModel:
-    """Balanced weights, and trees up to the best round on the validation part."""
+                 params: BoostParams = WEIGHTED_TRAINING, patience: int = 50) -> BoostedModel:
+    """Balanced weights, and rounds that stop on the validation part."""
     weighted = balance.add_weights(train, balance.class_weights(train))
-    return fit_boosted(weighted, features, params, "weight", validation, tolerance, patience)
+    return fit_boosted(weighted, features, params, "weight", validation, patience)
 
 
 def fit_forest(train: DataFrame, features: list[str],
@@ -230,18 +105,19 @@ def score_ensemble(df: DataFrame, boosted: BoostedModel, forest: PipelineModel)
 
 def tune(train: DataFrame, validation: DataFrame, features: list[str],
          combinations: list[BoostParams] = TUNING_COMBINATIONS) -> list[dict]:
-    """Balanced accuracy per combination, best first marked; equal scores keep the earlier one."""
-    weighted = balance.add_weights(train, balance.class_weights(train)).persist()
+    """Balanced accuracy per combination, best first marked; equal scores keep the earlier one.
+
+    All models grow together on one binned table, a pass over the rows for each level of all of them.
+    """
+    weighted = balance.add_weights(train, balance.class_weights(train))
     results, best, best_score = [], None, 0.0
-    for i, params in enumerate(combinations):
-        model = fit_boosted(weighted, features, params, "weight")
+    for i, model in enumerate(boosting.fit_models(weighted, features, combinations, "weight")):
         decided = evaluation.threshold_rule(model.transform(validation))
         row = evaluation.balanced_accuracy(decided).first()
         results.append({"combination": i, "balanced_accuracy": row["balanced_accuracy"],
                         "accuracy": row["accuracy"]})
         if row["balanced_accuracy"] > best_score:
             best, best_score = i, row["balanced_accuracy"]
-    weighted.unpersist()
     return [{**r, "is_best": r["combination"] == best} for r in results]
 
 

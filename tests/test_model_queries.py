@@ -23,17 +23,15 @@ class Seen(Exception):
 def test_published_rounds(spark, monkeypatch, name, rounds):
     seen = []
 
-    def fit(train, features, params=None, *rest, **more):
-        seen.append((params or training.BoostParams()).rounds)
-        if len(seen) == len(rounds):
-            raise Seen
-        return training.BoostedModel((), ())
+    def fit(train, features, models, *rest, **more):
+        seen.extend(m.rounds for m in models)
+        raise Seen
 
     monkeypatch.setattr(catalog, "_model_table", lambda *_: (spark.createDataFrame(
         [(1, "train", 0), (2, "train", 1), (3, "train", 2), (4, "val", 0)], "bar_id long, split string, label int"), []))
     monkeypatch.setattr(catalog, "materialize", lambda df, _: df)
     monkeypatch.setattr(catalog.balance, "oversample", lambda *_: Parts)
-    monkeypatch.setattr(training, "fit_boosted", fit)
+    monkeypatch.setattr(training.boosting, "fit_models", fit)
     monkeypatch.setattr(training, "fit_forest", lambda *_: None)
     monkeypatch.setattr(training.BoostedModel, "transform", lambda self, df: df)
     monkeypatch.setattr(catalog.writers, "save_model", lambda *_: "")

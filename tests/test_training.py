@@ -38,9 +38,9 @@ def test_boosted_model_learns_and_probabilities_sum_to_one(separable, tmp_path):
 
 def test_early_stopping_needs_fewer_rounds(separable):
     train, test = separable
-    params = training.BoostParams(max_depth=2, rounds=15, learning_rate=0.5)
-    model = training.fit_weighted(train, test, NAMES, params, tolerance=0.5)
-    assert max(m.getNumTrees for m in model.models) < 15
+    params = training.BoostParams(max_depth=2, rounds=300, learning_rate=0.5)
+    model = training.fit_weighted(train, test, NAMES, params, patience=5)
+    assert len(model.rounds) < 300
     assert accuracy(model.transform(test)) > 0.9
 
 
@@ -70,7 +70,8 @@ def test_missing_feature_values_are_an_error(spark):
 
 def test_published_settings():
     boost, forest = training.BoostParams(), training.ForestParams()
-    assert (boost.max_depth, boost.learning_rate, boost.rounds, boost.min_child_rows) == (5, 0.05, 1000, 3)
+    assert (boost.max_depth, boost.learning_rate, boost.rounds, boost.min_child_weight) == (5, 0.05, 1000, 3)
+    assert (boost.gamma, boost.alpha, boost.l2) == (0.1, 0.1, 1.0)
     assert (forest.trees, forest.max_depth, forest.min_leaf_rows) == (200, 12, 2)
     assert len(training.TUNING_COMBINATIONS) == 10
 
