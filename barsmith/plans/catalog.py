@@ -547,15 +547,27 @@ def _probability_list() -> tuple[Column, Column]:
     return every, F.array_max(every)
 
 
-def _thresholded(scored: DataFrame) -> DataFrame:
-    """Every row with whether its decision is the threshold rule's, found from the largest value."""
+def _threshold_rule() -> Column:
+    """Whether a decision is the threshold rule's, found from the largest value."""
     every, top = _probability_list()
     alone = F.size(F.filter(every, lambda p: p == top)) == 1
     place = F.array_position(every, top) - 1
-    expected = F.when(alone & (top > 0.3), place).otherwise(2)
-    decided = evaluation.threshold_rule(scored)
-    return decided.select("bar_id", "label", _sums_to_one().alias("sums_to_one"),
-                          (F.col("predicted") == expected).alias("follows_rule"))
+    return F.col("predicted") == F.when(alone & (top > 0.3), place).otherwise(2)
+
+
+def _decisions(scored: DataFrame) -> DataFrame:
+    """What the model says: label, probabilities and decision of every row."""
+    return scored.select("bar_id", "label", *evaluation.PROBABILITIES, "predicted")
+
+
+def _checked(decided: DataFrame, follows: Column, *more: str) -> DataFrame:
+    """Every row with whether its probabilities and decision fit together, and whether the whole model is
+    better than a constant one, whose balanced accuracy is a third."""
+    decided = materialize(decided, "decided")
+    better = evaluation.balanced_accuracy(decided).select((F.col("balanced_accuracy") > 0.4).alias("beats_constant"))
+    (known,) = better.collect()
+    return decided.select("bar_id", "label", _sums_to_one().alias("sums_to_one"), follows.alias("follows_rule"),
+                          F.lit(known["beats_constant"]).alias("beats_constant"), *more)
 
 
 def _blended() -> Column:
@@ -575,29 +587,53 @@ def feature_vector(spark, folder):
         "bar_id", F.size(values).alias("width"), total.alias("total")), ["total"])
 
 
-@register
-def train_forest(spark, folder):
+def _by_forest(spark, folder) -> DataFrame:
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    model = training.fit_forest(train, names)
-    return _thresholded(training.forest_probabilities(model, test))
+    return evaluation.threshold_rule(training.forest_probabilities(training.fit_forest(train, names), test))
 
 
-@register
-def train_boost(spark, folder):
+def _by_boosting(spark, folder) -> DataFrame:
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    model = training.fit_boosted(train, names)
-    return _thresholded(model.transform(test))
+    return evaluation.threshold_rule(training.fit_boosted(train, names).transform(test))
 
 
-@register
-def train_weighted(spark, folder):
+def _by_weighted(spark, folder) -> DataFrame:
     """Balanced weights, and rounds that stop on the validation part."""
     table, names = _model_table(spark, folder)
     train, val, test = _parts(table)
-    model = training.fit_weighted(train, val, names)
-    return _thresholded(model.transform(test))
+    return evaluation.threshold_rule(training.fit_weighted(train, val, names).transform(test))
+
+
+@register
+def train_forest(spark, folder):
+    return _decisions(_by_forest(spark, folder))
+
+
+@register
+def train_forest_check(spark, folder):
+    return _checked(_by_forest(spark, folder), _threshold_rule())
+
+
+@register
+def train_boost(spark, folder):
+    return _decisions(_by_boosting(spark, folder))
+
+
+@register
+def train_boost_check(spark, folder):
+    return _checked(_by_boosting(spark, folder), _threshold_rule())
+
+
+@register
+def train_weighted(spark, folder):
+    return _decisions(_by_weighted(spark, folder))
+
+
+@register
+def train_weighted_check(spark, folder):
+    return _checked(_by_weighted(spark, folder), _threshold_rule())
 
 
 @register
@@ -618,8 +654,8 @@ def tune(spark, folder):
     return spark.createDataFrame(training.tune(train, val, names))
 
 
-@register
-def model_roundtrip(spark, folder):
+def _by_stored(spark, folder) -> DataFrame:
+    """The blend of both models after saving and loading, and whether the fitted ones gave the same."""
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
     forest = training.fit_forest(train, names)
@@ -629,20 +665,25 @@ def model_roundtrip(spark, folder):
     own = F.struct(*evaluation.PROBABILITIES, "predicted")
     fitted = training.score_ensemble(test, boosted, forest).select(*test.columns, own.alias("fitted"))
     stored = training.score_ensemble(fitted, loaded, writers.load_model(path))
-    return stored.select(
-        "bar_id", "label", _sums_to_one().alias("sums_to_one"), _blended().alias("follows_rule"),
-        (F.col("fitted") == own).alias("same_as_fitted"))
+    return stored.withColumn("same_as_fitted", F.col("fitted") == own).select(
+        "bar_id", "label", *evaluation.PROBABILITIES, "predicted", "same_as_fitted")
 
 
-_PREDICTORS = ["RSI", "MACD", "HABodyRangeRatio", "MyWAZLTTrend"]
+@register
+def model_roundtrip(spark, folder):
+    return _by_stored(spark, folder)
 
 
 @register
-def routed_scores(spark, folder):
-    """Requests scored by the model of their type, designation and bars; PV3 has none.
+def model_roundtrip_check(spark, folder):
+    return _checked(_by_stored(spark, folder), _blended(), "same_as_fitted")
 
-    ``consistent``: zeros where there is a reason, else probabilities over the known classes.
-    """
+
+_PREDICTORS = ["RSI", "MACD", "HABodyRangeRatio", "MyWAZLTTrend"]
+
+
+def _routed(spark, folder) -> DataFrame:
+    """Requests scored by the model of their type, designation and bars; PV3 has none."""
     snaps = materialize(views.snapshots(spark, folder), "snapshots")
     best = F.array_position("probabilities", F.array_max("probabilities")).cast("int") - 1
     history = snaps.withColumn("label", best)
@@ -663,10 +704,21 @@ def routed_scores(spark, folder):
     routed = training.route(
         matched, {k: scorer(m) for k, m in zip(keys, models, strict=True)}, exit_scores.TRADE_KEY)
     out = exit_scores.map_classes(routed, views.class_map(spark))
+    return out.select("request_id", *exit_scores.TRADE_KEY, "red", "yellow", "green", "error")
+
+
+@register
+def routed_scores(spark, folder):
+    return _routed(spark, folder)
+
+
+@register
+def routed_scores_check(spark, folder):
+    """``consistent``: zeros where there is a reason, else probabilities over the known classes."""
     total = F.col("red") + F.col("yellow") + F.col("green")
     consistent = (
         F.when(F.col("error").isNotNull(), F.greatest(*(F.abs(c) for c in ("red", "yellow", "green"))) == 0)
         .when(F.col("TradeType") == "Long", F.abs(total - 1) < 1e-9)
         .otherwise((F.col("yellow") == 0) & total.between(0, 1 + 1e-9))
     )
-    return out.select("request_id", *exit_scores.TRADE_KEY, "error", consistent.alias("consistent"))
+    return _routed(spark, folder).select("request_id", *exit_scores.TRADE_KEY, "error", consistent.alias("consistent"))

@@ -426,7 +426,8 @@ def excursion(side: str) -> str:
 
 def model_sql(extra: str = "") -> str:
     """Scored rows are the labelled bars of the test part; the checks on each must hold."""
-    return with_(LABELS, f"""SELECT bar_id, label, true AS sums_to_one, true AS follows_rule{extra}
+    return with_(LABELS, f"""SELECT bar_id, label, true AS sums_to_one, true AS follows_rule,
+  true AS beats_constant{extra}
 FROM labelled WHERE split = 'test'""")
 
 
@@ -618,11 +619,11 @@ FROM bars"""),
     "feature_vector": with_(
         WINDOW_BARS | feature_step(), f"""SELECT bar_id, 76 AS width,
   {rnd(' + '.join(q(c) for c in feature_table_columns()[1:77]), 'total')} FROM features"""),
-    "train_forest": model_sql(),
-    "train_boost": model_sql(),
-    "train_weighted": model_sql(),
-    "model_roundtrip": model_sql(", true AS same_as_fitted"),
-    "routed_scores": with_(SNAPSHOTS | REQUESTS, """SELECT request_id, tt AS "TradeType",
+    "train_forest_check": model_sql(),
+    "train_boost_check": model_sql(),
+    "train_weighted_check": model_sql(),
+    "model_roundtrip_check": model_sql(", true AS same_as_fitted"),
+    "routed_scores_check": with_(SNAPSHOTS | REQUESTS, """SELECT request_id, tt AS "TradeType",
   td AS "TradeDesignation", bs AS "BarsSinceTradeEntry", CASE WHEN NOT EXISTS (
     SELECT 1 FROM snapshots s WHERE s.tt = r.tt AND s.td = r.td AND s.bs = r.bs) THEN 'no snapshot'
   WHEN td = 'PV3' THEN 'no model' END AS error, true AS consistent FROM requests r"""),

@@ -1,10 +1,13 @@
 """The model queries train with the published settings."""
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
-from barsmith.operators import training
+import check
+from barsmith.operators import boosting, training
 from barsmith.plans import catalog
+from conftest import SF
 
 TUNED = [800, 500, 1000, 1000, 800, 1500, 500, 800, 150, 1000]
 
@@ -41,3 +44,15 @@ def test_published_rounds(spark, monkeypatch, name, rounds):
     with pytest.raises(Seen):
         contract.queries()[name](spark, "")
     assert seen == rounds
+
+
+def test_a_constant_model_fails_the_check(spark, monkeypatch):
+    """A third for every class follows all rules but is no model."""
+    def constant(train, features, *rest, **more):
+        return training.BoostedModel(tuple(features), boosting.Layout(tuple(np.zeros(1) for _ in features)), ())
+
+    monkeypatch.setattr(training, "fit_boosted", constant)
+    got = contract.queries()["train_boost_check"](spark, SF).toPandas()
+    assert got["sums_to_one"].all() and got["follows_rule"].all() and not got["beats_constant"].any()
+    want = check.connect(SF).execute(contract.oracle_sql()["train_boost_check"]).df()
+    assert len(got) == len(want) and check.difference(got, want) is not None
