@@ -142,14 +142,14 @@ class Graph:
     @classmethod
     def of(cls, text: str, base: list[Span]) -> "Graph":
         spans = tokens(text)
-        fixed, at = np.full(len(spans), -1), 0
-        reach = sorted(base, key=lambda s: s[2])
-        for i, (a, b) in enumerate(spans):
-            while at < len(reach) and reach[at][2] <= a:
-                at += 1
-            inside = [k for k, s, e in reach[at : at + 8] if s < b and e > a]
-            if inside:
-                fixed[i] = 1 + min(inside)
+        fixed = np.full(len(spans), -1)
+        for kind in range(len(KINDS)):  # spans of a kind do not overlap, so they stand in order of start and end
+            own, at = [(s, e) for k, s, e in sorted(base, key=lambda s: s[1]) if k == kind], 0
+            for i, (a, b) in enumerate(spans):
+                while at < len(own) and own[at][1] <= a:
+                    at += 1
+                if at < len(own) and own[at][0] < b and fixed[i] < 0:
+                    fixed[i] = 1 + kind
         links: dict[tuple[int, int], int] = {}
         last: dict[tuple[str, str], int] = {}
         for i, (a, b) in enumerate(spans):

@@ -1,6 +1,7 @@
 """The field is fitted on all tokens of the sampled documents."""
 
 import numpy as np
+import pytest
 
 from barsmith.llm import pii
 
@@ -32,3 +33,12 @@ def test_copies_are_weights():
     two = pii.fit_field([r for r, n in zip(rows, copies) for _ in range(n)], pii.Settings())
     for name in vars(one):
         assert np.allclose(getattr(one, name), getattr(two, name))
+
+
+def test_a_token_over_many_spans_takes_the_smallest_kind():
+    """Nine addresses and an e-mail in one token: all spans over it count."""
+    text = "x" * 120
+    base = [(1, 10 * i, 10 * i + 8) for i in range(9)] + [(0, 92, 110)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "tokens", lambda _: [(0, 115), (116, 120)])
+        assert list(pii.Graph.of(text, base).fixed) == [1, -1]
