@@ -178,9 +178,12 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
     The overlap is the longest of the diagonals' best runs (then the first). A null or empty text on
     either side overlaps with nothing; an item with fewer words than the shortest mask (5) cannot be
-    found, one with fewer than `least_words` only if all its words are copied. Otherwise half of the
-    item's words and `least_words`, `enough_words`, or `copied_words` in one run are needed. Rows that repeat a document or an item give the same pair once. A null doc_id is a
-    document of its own kind: its rows are compared like others and share the null id.
+    found, one with fewer than `least_words` only if all its words are copied. Otherwise it takes the
+    share `identity` of the item's words on one diagonal, wherever the changed ones stand, or a best run with
+    half of the item's words and `least_words`, or `enough_words`, or `copied_words` unbroken. Rows that
+    repeat a document or an item give the same pair once. A null doc_id is a document of its own kind: its
+    rows are compared like others and share the null id. Texts of any length are compared, an empty table
+    on either side gives an empty result, and other columns are not read.
     """
     from barsmith import session
 
@@ -215,6 +218,9 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
                 need = max(min(settings.least_words, len(b)), settings.least_share * len(b))
                 if n >= min(need, settings.enough_words) or longest_copy(equal) >= settings.copied_words:
                     out.append((doc, item, low + s, low + e, n, len(b)))
+                elif len(b) >= settings.least_words and equal.sum() >= settings.identity * len(b):
+                    own = np.flatnonzero(equal)  # most of the item, wherever the changed words stand
+                    out.append((doc, item, low + own[0], low + own[-1] + 1, len(own), len(b)))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=kind.names, dtype=object), schema=kind,
                                              preserve_index=False)
 

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from cases import BASE, WORD, components, crc, lower, rows, shingle_set, unigram
 from conftest import SF
+from test_pipeline_rows import near_groups
 
 from barsmith import session
 from barsmith.llm import components as graph
@@ -105,23 +106,79 @@ def test_full_bitmap_only_costs_time(spark, items, monkeypatch):
     assert decontaminate.overlaps(docs, items).collect() == want
 
 
-def test_overlap_query(run, table):
-    word = re.compile("[0-9a-z\x80-\U0010ffff]+")
-    benchmark = {i: word.findall(lower(t)) for i, t in table("select * from '{sf}/benchmark.parquet'")}
-    want = set()
-    for i, text in table("select doc_id, text from '{sf}/documents.parquet'"):
-        own = word.findall(lower(text))
-        for item, words in benchmark.items():
-            for shift in range(-len(words) + 1, len(own)):
+TERM = re.compile("[0-9a-z\x80-\U0010ffff]+")
+
+
+def run_of(equal):
+    """Equal words of the best run: all runs are tried, the first end and then the shortest run wins ties."""
+    best = (0, 0, 0, 0)
+    for end in range(len(equal) + 1):
+        for start in range(end, -1, -1):
+            n = sum(equal[start:end])
+            gain = 2 * n - 8 * (end - start - n)  # tenths
+            if gain > best[0]:
+                best = gain, n, start, end
+    return best[1]
+
+
+def accepted(equal, size):
+    """The rule for one diagonal, as it is written down."""
+    if size >= 8 and 10 * sum(equal) >= 8 * size:
+        return True
+    copied = max(map(len, "".join("x" if e else " " for e in equal).split()), default=0)
+    return copied >= 13 or run_of(equal) >= min(max(min(8, size), size / 2), 25)
+
+
+def overlapping(docs, items):
+    """Pairs of documents and items of 5 words and more that overlap, from all diagonals."""
+    wanted = {i: TERM.findall(lower(t)) for i, t in items.items()}
+    found = set()
+    for i, text in docs.items():
+        own = TERM.findall(lower(text))
+        places = {}
+        for at, word in enumerate(own):
+            places.setdefault(word, []).append(at)
+        for item, words in wanted.items():
+            if len(words) < 5:
+                continue
+            shifts = Counter(at - k for k, w in enumerate(words) for at in places.get(w, ()))
+            for shift, n in shifts.items():
                 low, high = max(0, shift), min(len(own), shift + len(words))
-                equal = np.array([own[k] == words[k - shift] for k in range(low, high)], bool)
-                s, e = decontaminate.best_run(equal, 0.8)
-                if equal[s:e].sum() >= min(max(8, 0.5 * len(words)), 25):
-                    want.add((i, item))
+                if n >= 5 and accepted([own[k] == words[k - shift] for k in range(low, high)], len(words)):
+                    found.add((i, item))
                     break
+    return found
+
+
+def test_overlap_query(run, table):
+    want = overlapping(dict(table("select doc_id, text from '{sf}/documents.parquet'")),
+                       dict(table("select * from '{sf}/benchmark.parquet'")))
     assert {(r["doc_id"], r["item_id"]) for r in run("op4_decontamination")} == want
 
 
+def test_random_substitutions_are_found(spark):
+    """Items of which a fifth of the words, rounded down, are changed at random places."""
+    draw = random.Random(11)
+    sizes = [8, 10, 15, 20, 50]
+    items, docs = {}, {}
+    for size in sizes:
+        for k in range(60):
+            key = 1000 * size + k
+            items[key] = [f"i{key}w{i}" for i in range(size)]
+            own = list(items[key])
+            for at in draw.sample(range(size), size // 5):
+                own[at] = f"n{key}q{at}"
+            docs[key] = [f"u{draw.randrange(500)}" for _ in range(draw.randrange(40))] + own + ["tail"] * draw.randrange(40)
+
+    def frame(table_, key):
+        return spark.createDataFrame([(k, " ".join(w)) for k, w in table_.items()], f"{key} long, text string")
+
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert all(d == i for d, i in found)
+    for size in sizes:
+        assert sum(d // 1000 == size for d, _ in found) >= 0.9 * 60, size
+
+
 def test_archive(spark, monkeypatch):
     monkeypatch.setattr(warc, "GAP_BYTES", 10)
     data = [(1, "u", "abc"), (2, "v\n w", "abc"), (3, None, None), (4, "", ""), (5, "é", "é" * 1000), (6, "x", "abc"),
@@ -264,12 +321,39 @@ def test_pipeline(spark, table):
         if name != "tokens":
             assert kept.columns == docs.columns
     assert seen[0] == {i for i, t in texts.items() if any(c.isalpha() for c in t or "")}
-    groups = components([(i, texts[i]) for i in seen[0]])
+    groups = near_groups([(i, texts[i]) for i in seen[0]])  # from 0.8 on
     assert seen[1] == {i for i in seen[0] if groups[i] == i}
-    assert seen[2] < seen[1] and seen[3] == seen[2] == seen[4]
+    leaks = overlapping({i: texts[i] for i in seen[1]}, dict(table("select * from '{sf}/benchmark.parquet'")))
+    assert seen[2] == seen[1] - {i for i, _ in leaks} and seen[3] == seen[2] == seen[4]
     assert len(pipe.run(spark, SF).collect()) == len(seen[4])
 
 
+def test_archives_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 2000)
+    pages = spark.createDataFrame([(i, f"u{i}", f"{i} " * 2000) for i in range(60)], "page_id long, url string, html string")
+    index = warc.write(pages.repartition(3), session.scratch(spark, "warc"))
+    size = index.agg({"length": "sum"}).first()[0]
+    got = warc.read(index)
+    assert size > 4000 and got.rdd.getNumPartitions() >= size / 2000
+    assert sorted(r.page_id for r in got.collect()) == list(range(60))
+    assert warc.address("s3a://bucket/a.warc.gz") == "s3://bucket/a.warc.gz"
+    assert warc.address("hdfs://host/a") == "hdfs://host/a" and warc.address("/tmp/a") == "/tmp/a"
+
+
+def test_bucket_starts_are_a_table(spark):
+    """Sums over two levels, and a plan that does not grow with the buckets."""
+    sizes = {}
+    for n in (200, 20_000):
+        counts = spark.range(n).selectExpr("id as __bucket", "id % 7 as rows")
+        got = sorted(map(tuple, shards._starts(counts).collect()))
+        assert got == [(i, sum(k % 7 for k in range(i))) for i in range(200)] if n == 200 else len(got) == n
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+        stored = shards.write(docs, session.scratch(spark, "shards"), 4, bucket_bytes=8000 // n + 1)
+        assert stored.count() == 300
+        sizes[n] = len(shards._starts(counts)._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(sizes[200] - sizes[20_000]) < 100
+
+
 def test_pipeline_stages_take_awkward_rows(spark, awkward, nothing):
     import corpus_pipeline as pipe
 
