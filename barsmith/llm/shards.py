@@ -13,14 +13,32 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barsmith import session
+from barsmith.llm.native_text import small
+
 #: Bytes of text per bucket in expectation.
 BUCKET_BYTES = 16 << 20
 ROW_BYTES = 16
 
 
+def _starts(counts: DataFrame) -> DataFrame:
+    """How many records the buckets before each bucket have, summed up in two levels."""
+    counts = counts.withColumn("thousand", F.expr("__bucket div 1024"))
+    upper = counts.groupBy("thousand").agg(F.sum("rows").alias("all"))
+    upper = upper.select("thousand", F.coalesce(F.sum("all").over(_before(Window.partitionBy(F.lit(0)), "thousand")),
+                                                F.lit(0)).alias("upper"))
+    inner = F.coalesce(F.sum("rows").over(_before(Window.partitionBy("thousand"), "__bucket")), F.lit(0))
+    return session.materialize(counts.withColumn("inner", inner).join(upper, "thousand").select(
+        "__bucket", (F.col("upper") + F.col("inner")).alias("__before")), "bucket-starts")
+
+
+def _before(groups: WindowSpec, order: str) -> WindowSpec:
+    return groups.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def write(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Write all records with `shard` and `slot` below path, a folder per shard, and return them read back.
@@ -40,13 +58,8 @@ def write(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", text_
     n = math.ceil(size["bytes"] / bucket_bytes)
     order = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     bucket = F.pmod(F.xxhash64(F.lit(seed + 1), order), F.lit(n))
-    # One row per bucket: how many records the buckets before it have.
-    counts = docs.select(bucket.alias("__bucket")).groupBy("__bucket").agg(F.count("*").alias("rows")).collect()
-    before, sofar = [], 0
-    for row in sorted(counts):
-        before += [F.lit(row["__bucket"]).cast("long"), F.lit(sofar).cast("long")]
-        sofar += row["rows"]
-    starts = spark.range(1).select(F.explode(F.create_map(*before)).alias("__bucket", "__before"))
+    counts = docs.select(bucket.alias("__bucket")).groupBy("__bucket").agg(F.count("*").alias("rows"))
+    starts = small(_starts(session.materialize(counts, "bucket-rows")))
 
     record = F.struct(order.alias("__order"), *[F.col(c) for c in columns])
     gathered = docs.select(bucket.alias("__bucket"), record.alias("__record")) \
@@ -55,7 +68,7 @@ def write(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", text_
     sorted_records = F.array_sort("__records", lambda a, b: F.when(a["__order"] < b["__order"], -1)
                                   .when(a["__order"] > b["__order"], 1).otherwise(0))
     placed = gathered.select("__bucket", F.posexplode(F.shuffle(sorted_records, F.lit(seed))).alias("__at", "__record")) \
-        .join(F.broadcast(starts), "__bucket")
+        .join(starts, "__bucket")
     number = F.col("__before") + F.col("__at")
     shard = F.expr(f"cast(((__before + __at + 1) * {shards} - 1) div {total} as int)")
     first = F.expr(f"(cast(shard as long) * {total}) div {shards}")
