@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -80,6 +81,12 @@ def _number(urn: str | None) -> int | None:
     return int(urn[len("<urn:page:") : -1]) if urn and urn != "<urn:page:>" else None
 
 
+def address(path: str) -> str:
+    """The path as Arrow names it; s3a and s3n are Hadoop's names of s3."""
+    scheme, sep, rest = path.partition("://")
+    return f"s3{sep}{rest}" if scheme in ("s3a", "s3n") else path
+
+
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           least_bytes: int = 0) -> DataFrame:
     """Write a record per row below the folder and return the index, itself a table of the shared folder.
@@ -102,7 +109,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     ready = own.join(copies, same, "left").select("page_id", "url", "html", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = fs.FileSystem.from_uri(address(folder))
         store.create_dir(path, recursive=True)
         out, name, offset, rows = None, "", 0, []
         try:
@@ -163,7 +170,7 @@ def read(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("offset", kind="stable")
-        store, path = fs.FileSystem.from_uri(group["file"].iloc[0])
+        store, path = fs.FileSystem.from_uri(address(group["file"].iloc[0]))
         places = list(zip(group["offset"].tolist(), group["length"].tolist()))
         out = []
         with store.open_input_file(path) as source:
@@ -183,7 +190,10 @@ def read(index: DataFrame, with_payload: bool = True) -> DataFrame:
         made = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
         return made.astype({"page_id": "Int64", "refers_to": "Int64"})
 
+    # As many partitions as the bytes to read ask for; the rows of the index alone are few.
+    size = index.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
     return index.select("file", "offset", "length", F.floor(F.col("offset") / TASK_BYTES).alias("part")) \
+        .repartition(2 * math.ceil(size / TASK_BYTES) + 1, "file", "part") \
         .groupBy("file", "part").applyInPandas(lambda group: run(group), schema)
 
 
