@@ -224,11 +224,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = linked.select("doc_id", *keys, "bands", "lanes") \
         .join(classes.select(*keys, "n_shingles", F.col("node").alias("doc_id")), [*keys, "doc_id"]).distinct()
     buckets = session.materialize(
-        nodes.select("doc_id", "bands", F.posexplode("bands").alias("at", "band"))
-        .select("doc_id", "band", F.slice("bands", F.lit(1), F.col("at")).alias("earlier")), "buckets")
+        nodes.select("doc_id", *keys, F.posexplode("bands").alias("at", "band")), "buckets")
     ends = buckets.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")) \
         .where("a < last").select("band", "a")
-    members = buckets.join(ends, "band").join(nodes.select("doc_id", "n_shingles", "lanes"), "doc_id")
+    # A row's earlier bands are added to shared buckets only; they are as many as its bands.
+    members = buckets.join(ends, "band").join(
+        nodes.select("doc_id", *keys, "bands", "n_shingles", "lanes"), ["doc_id", *keys]).select(
+        "doc_id", "band", F.slice("bands", F.lit(1), F.col("at")).alias("earlier"), "a", "n_shingles", "lanes")
     shared = session.materialize(members, "shared")
     session.discard(buckets)
 
