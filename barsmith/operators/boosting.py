@@ -3,15 +3,15 @@
 Every row is binned once into a byte per feature, at quantile cuts, and blocks of rows are written to
 the shared folder. A round grows one tree per class. Each level of all its trees is one pass over the
 blocks: a block adds up gradients and second-order terms per class, node and bin, the blocks' histograms
-are summed by a tree aggregation, and the driver picks the splits. Only the smaller child of a split is
-measured; its sibling is the parent less that. Leaves are second-order steps with L1 and L2 terms.
+are summed and searched in parts, each with some of the features, and the driver gets the parts' best splits.
+Leaves are second-order steps with L1 and L2 terms.
 
 Gradients are rounded to integers of a fixed scale, so sums are exact: the model is bit for bit the same
 for any number of blocks and any order of tasks. Which rows and columns a tree sees follows from hashes.
 
 Several models grow in step: a pass serves all of them. Margins stay with the blocks; a pass that starts a
-round first adds the trees of the round before. A lost executor's blocks are read and updated again. When
-all rows are one block nothing has to be summed across tasks, and the same passes run inside a task per model.
+round first adds the trees of the round before. A lost executor's blocks are read and updated again. Up to
+TASK_ROWS rows a job per pass would take longer than the pass, and the same passes run inside a task per model.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Generator, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.operators.evaluation import CLASSES, PROBABILITIES
-from barsmith.session import materialize, shared_dir
+from barsmith.session import materialize, remove, shared_dir
 
 #: Rows of a block.
 BLOCK_ROWS = 65_536
+#: Rows up to which a model's passes run in one task: a job for each pass takes longer than it saves.
+TASK_ROWS = 8 * BLOCK_ROWS
 #: Passes after which the blocks' margins are written to the shared folder.
 CHECKPOINT_PASSES = 100
 K = len(CLASSES)
@@ -149,7 +152,8 @@ class Block:
 
     def __init__(self, row: dict, n_features: int, models: Iterable[int]):
         n = row["rows"]
-        self.bins = np.frombuffer(row["bins"], np.uint8).reshape(n_features, n)
+        # Row by row, so that the values a row is asked for on its way down a tree lie together.
+        self.bins = np.ascontiguousarray(np.frombuffer(row["bins"], np.uint8).reshape(n_features, n).T)
         self.label = np.frombuffer(row["label"], np.int8)
         self.weight = np.frombuffer(row["weight"], float)
         self.key = np.frombuffer(row["key"], np.int64).view(np.uint64)
@@ -160,19 +164,42 @@ class Block:
         self.terms: dict[int, tuple[np.ndarray, ...]] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"entries": None, "places": {}, "terms": {}}
+        return self.__dict__ | {"places": {}, "terms": {}}
 
-    def sparse(self, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row and bin of all values outside the most frequent bin of their feature, and those bins."""
+    def columns(self, layout: Layout) -> tuple[list[tuple], np.ndarray]:
+        """What histograms add up: columns of codes with a code per row, the number of codes, and the bins they
+        stand for; then the most frequent bins of rare features.
+
+        A feature whose values are spread is a column of its own. Of the others only values outside the most
+        frequent bin are kept; as a row has few of them, they share columns, as many as the fullest row needs.
+        """
         if self.entries is None:
-            rows, at, usual = [], [], []
-            for f, start in enumerate(layout.starts):
-                most = int(np.bincount(self.bins[f], minlength=1).argmax())
-                other = np.flatnonzero(self.bins[f] != most)
+            made, rows, at, usual, bins_of = [], [], [], [], [np.empty(0, np.int64)]
+            width = 0
+            for f, (start, size) in enumerate(zip(layout.starts, layout.sizes)):
+                values = self.bins[:, f].astype(np.int64)
+                counts = np.bincount(values, minlength=size)
+                most = int(counts.argmax())
+                if 2 * counts[most] < len(values):
+                    made.append((values.astype(np.uint8), int(size), slice(start, start + size)))
+                    continue
+                other = np.flatnonzero(values != most)
                 rows.append(other)
-                at.append(start + self.bins[f][other].astype(np.int64))
+                at.append(width + values[other])
                 usual.append(start + most)
-            self.entries = np.concatenate(rows), np.concatenate(at), np.array(usual)
+                bins_of.append(np.arange(start, start + size))
+                width += int(size)
+            row = np.concatenate([*rows, np.empty(0, np.int64)])
+            code = np.concatenate([*at, np.empty(0, np.int64)])
+            order = np.argsort(row, kind="stable")
+            row, code = row[order], code[order]
+            per_row = np.bincount(row, minlength=len(self.label))
+            nth = np.arange(len(row)) - (np.cumsum(per_row) - per_row)[row]
+            for k in range(int(per_row.max(initial=0))):
+                own, column = nth == k, np.full(len(self.label), width)  # the last code stands for no value
+                column[row[own]] = code[own]
+                made.append((column.astype(np.min_scalar_type(width)), width + 1, np.concatenate(bins_of)))
+            self.entries = made, np.array(usual, np.int64)
         return self.entries
 
 
@@ -225,28 +252,44 @@ class Request:
     slots: np.ndarray | None  # per class and node of the level: where its histogram goes, or -1
     n_slots: int = 0
     add: Trees | None = None
+    classes: np.ndarray | None = None  # of each slot
+
+
+class Steps:
+    """A class's tree as tables: where a node looks, what it compares with, and its left child or itself."""
 
+    def __init__(self, trees: Trees, c: int):
+        inner = trees.feature[c] >= 0
+        self.feature = np.where(inner, trees.feature[c], 0).astype(np.int64)
+        self.split = np.where(inner, trees.split[c], 255).astype(np.uint8)
+        self.left = np.where(inner, 2 * np.arange(len(inner)) + 1, np.arange(len(inner)))
 
-def _descend(place: np.ndarray, bins: np.ndarray, feature: np.ndarray, split: np.ndarray) -> np.ndarray:
-    f = feature[place]
-    inner = f >= 0
-    right = bins[np.where(inner, f, 0), np.arange(len(place))] > split[place]
-    return np.where(inner, 2 * place + 1 + right, place)
+    def descend(self, place: np.ndarray, bins: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """One level down; `starts` is where each row begins in the flat `bins`. Leaves stay."""
+        value = bins.take(starts + self.feature.take(place))
+        return self.left.take(place) + (value > self.split.take(place))
+
+
+def _row_starts(bins: np.ndarray) -> np.ndarray:
+    return np.arange(len(bins)) * bins.shape[1]
 
 
 def _leaves(bins: np.ndarray, trees: Trees, c: int) -> np.ndarray:
-    place = np.zeros(bins.shape[1], np.int64)
+    """The end of every row, given row by row, in the tree of a class."""
+    place, steps, starts = np.zeros(len(bins), np.int64), Steps(trees, c), _row_starts(bins)
     for _ in range((trees.feature.shape[1] + 1).bit_length() - 2):
-        place = _descend(place, bins, trees.feature[c], trees.split[c])
+        place = steps.descend(place, bins, starts)
     return place
 
 
 def add_trees(block: Block, model: int, trees: Trees) -> None:
-    at_end = block.places.get(model)
+    at_end, starts = block.places.get(model), _row_starts(block.bins)
     for c in range(K):
-        leaf = _leaves(block.bins, trees, c) if at_end is None else \
-            _descend(at_end[1][c], block.bins, trees.feature[c], trees.split[c])
-        block.margins[model][c] += trees.value[c][leaf]
+        if at_end is None:
+            leaf = _leaves(block.bins, trees, c)
+        else:  # rows stand on the last measured level, and no branch goes deeper than one below it
+            leaf = Steps(trees, c).descend(at_end[1][c], block.bins, starts)
+        block.margins[model][c] += trees.value[c].take(leaf)
     block.places.pop(model, None)
     block.terms.pop(model, None)
 
@@ -272,26 +315,33 @@ def measure(block: Block, model: int, request: Request, layout: Layout) -> np.nd
         block.terms[model] = np.rint(g * block.weight * request.scale), np.rint(h * block.weight * request.scale), use
     g, h, use = block.terms[model]
     level, places = block.places.get(model, (0, np.zeros((K, len(block.label)), np.int64)))
+    starts = _row_starts(block.bins)
     for _ in range(level, request.level):
-        places = np.array([_descend(places[c], block.bins, request.trees.feature[c], request.trees.split[c])
-                           for c in range(K)])
+        places = np.array([Steps(request.trees, c).descend(places[c], block.bins, starts) for c in range(K)])
     block.places[model] = request.level, places
-    rows, at, usual = block.sparse(layout)
+    columns, usual = block.columns(layout)
     first = (1 << request.level) - 1
-    out = np.zeros((2, request.n_slots * total))
-    sums = np.zeros((2, request.n_slots))
+    chosen, slots = [], []
     for c in range(K):
-        node = places[c] - first
-        slot = np.where((node >= 0) & use, request.slots[c][np.maximum(node, 0)], -1)
-        own = slot >= 0
-        entry = np.flatnonzero(own[rows])
-        row = rows[entry]
-        cell = slot[row] * total + at[entry]
-        for k, term in enumerate((g[c], h[c])):
-            out[k] += np.bincount(cell, term[row], request.n_slots * total)
-            sums[k] += np.bincount(slot[own], term[own], request.n_slots)
-    out = out.reshape(2, request.n_slots, total)
-    out[:, :, usual] += sums[:, :, None] - np.add.reduceat(out, layout.starts, axis=2)
+        slot = np.concatenate([np.full(first, -1), request.slots[c]]).take(places[c])  # of any node down to the level
+        chosen.append(np.flatnonzero((slot >= 0) & use))
+        slots.append(slot.take(chosen[c]))
+    rows, slot = np.concatenate(chosen), np.concatenate(slots)
+    terms = [np.concatenate([term[c].take(chosen[c]) for c in range(K)]) for term in (g, h)]
+    sums = np.array([np.bincount(slot, term, request.n_slots) for term in terms])
+    out = np.zeros((2, request.n_slots, total))
+    firsts: dict[int, np.ndarray] = {}
+    for column, width, bins in columns:
+        if width not in firsts:
+            firsts[width] = slot * width
+        code = column.take(rows) + firsts[width]
+        for k in range(2):
+            found = np.bincount(code, terms[k], request.n_slots * width).reshape(-1, width)
+            if isinstance(bins, slice):
+                out[k][:, bins] = found
+            else:
+                out[k][:, bins] += found[:, :-1]
+    out[:, :, usual] += sums[:, :, None] - np.add.reduceat(out, layout.starts, axis=2)[:, :, np.searchsorted(layout.starts, usual, "right") - 1]
     return out
 
 
@@ -307,7 +357,9 @@ def _quality(g: np.ndarray, h: np.ndarray, params: BoostParams) -> np.ndarray:
 
 def best_splits(hist: np.ndarray, allowed: np.ndarray, layout: Layout, scale: float,
                 params: BoostParams) -> tuple[np.ndarray, ...]:
-    """Per node: the best place (-1: none), both sums left of it, and of the node; the first of equal ones wins."""
+    """Per node: the best place (-1: none), both sums left of it, and of the node; the first of equal ones wins.
+
+    Last comes the gain, to compare the bests of several parts of the features."""
     starts, sizes = layout.starts, layout.sizes
     run = hist.cumsum(axis=2)
     before = np.repeat(run[:, :, starts] - hist[:, :, starts], sizes, axis=2)
@@ -322,7 +374,7 @@ def best_splits(hist: np.ndarray, allowed: np.ndarray, layout: Layout, scale: fl
     gain = np.where(valid, gain, -1.0)
     best = gain.argmax(axis=1)
     node = np.arange(len(best))
-    return np.where(gain[node, best] > 0, best, -1), left[:, node, best], whole[:, :, 0]
+    return np.where(gain[node, best] > 0, best, -1), left[:, node, best], whole[:, :, 0], gain[node, best]
 
 
 def _columns(params: BoostParams, number: int, n_features: int) -> np.ndarray:
@@ -337,8 +389,9 @@ def _columns(params: BoostParams, number: int, n_features: int) -> np.ndarray:
 Grower = Generator[Request, tuple[np.ndarray | None, tuple[int, int]], list[Trees]]
 
 
-def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None) -> Grower:
-    """Rounds of one model. Yields what it needs from the next pass and is sent the sums.
+def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None, searched: bool = False) -> Grower:
+    """Rounds of one model. Yields what it needs from the next pass and is sent the sums, or with `searched`
+    the best splits. Sums are asked for the lighter child of a pair; its sibling is the parent less that.
 
     With a patience it ends when so many rounds brought no smaller loss on the holdout rows, and keeps
     the rounds up to the least loss.
@@ -359,11 +412,11 @@ def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None
         trees, allowed = Trees.empty(params.max_depth), _columns(params, number, len(layout.sizes))
         nodes = np.array([(c, 0) for c in range(K)])  # class and place
         slots = np.arange(K)[:, None]
-        hist, loss = yield Request(number, 0, params, scale, None, slots, K, last)
+        hist, loss = yield Request(number, 0, params, scale, None, slots, K, last, nodes[:, 0])
         if worse(loss):
             break
         for level in range(params.max_depth):
-            place, left, whole = best_splits(hist, allowed[nodes[:, 0]], layout, scale, params)
+            place, left, whole, _ = hist if searched else best_splits(hist, allowed[nodes[:, 0]], layout, scale, params)
             if level == 0:
                 for c in range(K):
                     trees.value[c, 0] = _step(whole[:, c], params)
@@ -383,17 +436,19 @@ def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None
             if not len(split):
                 break
             light = (sides[0][1][alive] > sides[1][1][alive]).astype(int)
+            owns = [np.flatnonzero(heavy[k]) for k in range(2)]  # left children, then right ones
+            nodes = np.concatenate([np.stack([c[own], 2 * at[own] + 1 + k], axis=1) for k, own in enumerate(owns)])
             slots = np.full((K, 2 << level), -1)
+            if searched:
+                slots[nodes[:, 0], nodes[:, 1] - ((2 << level) - 1)] = np.arange(len(nodes))
+                hist, _ = yield Request(number, level + 1, params, scale, trees, slots, len(nodes), None, nodes[:, 0])
+                continue
             slots[c, 2 * at + 1 + light - ((2 << level) - 1)] = np.arange(len(split))
             measured, _ = yield Request(number, level + 1, params, scale, trees, slots, len(split))
             parent = hist[:, split]
             pair = [measured, parent - measured]
-            picked, hists = [], []
-            for k in range(2):  # left children, then right ones
-                own = np.flatnonzero(heavy[k])
-                picked.append(np.stack([c[own], 2 * at[own] + 1 + k], axis=1))
-                hists.append(np.where((light[own] == k)[None, :, None], pair[0][:, own], pair[1][:, own]))
-            nodes, hist = np.concatenate(picked), np.concatenate(hists, axis=1)
+            hist = np.concatenate([np.where((light[own] == k)[None, :, None], pair[0][:, own], pair[1][:, own])
+                                   for k, own in enumerate(owns)], axis=1)
         kept.append(trees)
         last = trees
     else:
@@ -420,8 +475,12 @@ def _serve(block: Block, requests: dict[int, Request], layout: Layout) -> dict[i
     return out
 
 
+def _sum(a: tuple, b: tuple) -> tuple:
+    return None if a[0] is None else a[0] + b[0], (a[1][0] + b[1][0], a[1][1] + b[1][1])
+
+
 def _plus(a: dict, b: dict) -> dict:
-    return {m: (None if a[m][0] is None else a[m][0] + b[m][0], (a[m][1][0] + b[m][1][0], a[m][1][1] + b[m][1][1])) for m in a}
+    return {m: _sum(a[m], b[m]) for m in a}
 
 
 def run_growers(growers: dict[int, Grower], one_pass: Callable[[dict[int, Request]], dict]) -> dict[int, list[Trees]]:
@@ -442,20 +501,25 @@ def run_growers(growers: dict[int, Grower], one_pass: Callable[[dict[int, Reques
 
 def _in_tasks(blocks: DataFrame, layout: Layout, models: list[BoostParams], scale: float,
               patience: int | None) -> dict[int, list[Trees]]:
-    """One block: each model's passes run in a task of its own."""
+    """Few blocks: each model's passes run in a task of its own, the longest model's first."""
+    turns = sorted(range(len(models)), key=lambda m: -models[m].rounds * models[m].max_depth)
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[Block]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                m = row["model"]
-                block = Block(row, len(layout.cuts), [m])
-                trees = run_growers({m: grow(models[m], layout, scale, patience)}, lambda r: _serve(block, r, layout))[m]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([m] * len(trees)), pa.array(range(len(trees)), pa.int64()),
-                     *(pa.array([getattr(t, f).tobytes() for t in trees], pa.binary()) for f in ("feature", "split", "value"))],
-                    names=["model", "round", "feature", "split", "value"])
-
-    each = blocks.withColumn("model", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(models) - 1).cast("long")))) \
-        .repartitionByRange(len(models), "model")
+                m = turns[row["turn"]]
+                held.setdefault(m, []).append(Block(row, len(layout.cuts), [m]))
+        for m, own in held.items():
+            trees = run_growers({m: grow(models[m], layout, scale, patience)},
+                                lambda r: reduce(_plus, (_serve(block, r, layout) for block in own)))[m]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([m] * len(trees), pa.int64()), pa.array(range(len(trees)), pa.int64()),
+                 *(pa.array([getattr(t, f).tobytes() for t in trees], pa.binary()) for f in ("feature", "split", "value"))],
+                names=["model", "round", "feature", "split", "value"])
+
+    each = blocks.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(models) - 1).cast("long")))) \
+        .repartitionByRange(len(models), "turn")
     found: dict[int, list[Trees]] = {m: [] for m in range(len(models))}
     rows = each.mapInArrow(train, "model long, round long, feature binary, split binary, value binary").collect()
     for r in sorted(rows, key=lambda r: (r["model"], r["round"])):  # trees, not rows of data
@@ -465,19 +529,52 @@ def _in_tasks(blocks: DataFrame, layout: Layout, models: list[BoostParams], scal
     return found
 
 
+def _slices(layout: Layout, parts: int) -> list[tuple[int, int]]:
+    """Features in order, divided into parts of about as many bins."""
+    turn = (layout.starts * parts) // max(int(layout.sizes.sum()), 1)
+    edges = [*np.unique(turn, return_index=True)[1], len(layout.sizes)]
+    return [(int(a), int(b)) for a, b in zip(edges, edges[1:])]
+
+
+def _search(hist: np.ndarray, request: Request, layout: Layout, a: int, b: int) -> tuple[np.ndarray, ...]:
+    """Best splits among the features from `a` up to `b`, at places of the whole layout."""
+    allowed = _columns(request.params, request.round, len(layout.cuts))[request.classes, a:b]
+    place, left, whole, gain = best_splits(hist, allowed, Layout(layout.cuts[a:b]), request.scale, request.params)
+    return np.where(place >= 0, place + layout.starts[a], -1), left, whole, gain
+
+
+def _better(first: tuple[np.ndarray, ...], second: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """The better of both per node; the first if they are equal."""
+    other = second[3] > first[3]
+    return tuple(np.where(other, y, x) for x, y in zip(first, second))
+
+
 def _in_passes(blocks: DataFrame, layout: Layout, models: list[BoostParams], scale: float,
                patience: int | None) -> dict[int, list[Trees]]:
-    """Many blocks: one job per pass, for all models."""
-    numbers, n_features = range(len(models)), len(layout.cuts)
-    context = blocks.sparkSession.sparkContext
+    """Many blocks: one job per pass, for all models.
+
+    Each block divides its histograms by features. The parts of all blocks meet in tasks that also search them, so
+    that the driver gets a split per node and part instead of histograms.
+    """
+    numbers, n_features, spark = range(len(models)), len(layout.cuts), blocks.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(blocks.sparkSession))
-    state = blocks.rdd.map(lambda r: Block(r.asDict(), n_features, numbers)).persist()
-    passes = 0
+        context.setCheckpointDir(shared_dir(spark))
+    shared = context.broadcast(layout)
+    parts = _slices(layout, max(1, min(n_features, context.defaultParallelism) // len(models)))
+    ends = np.append(layout.starts, layout.sizes.sum())
+
+    def start(row) -> Block:
+        block = Block(row.asDict(), n_features, numbers)
+        block.columns(shared.value)
+        return block
+
+    state = blocks.rdd.map(start).persist()
+    passes, saved = 0, None
 
     def one_pass(requests: dict[int, Request]) -> dict:
-        nonlocal state, passes
-        before = None
+        nonlocal state, passes, saved
+        before, outdated = None, None
         added = {m: r.add for m, r in requests.items() if r.add is not None and r.level == 0}
         if added:
             def update(block: Block) -> Block:
@@ -489,25 +586,44 @@ def _in_passes(blocks: DataFrame, layout: Layout, models: list[BoostParams], sca
             passes += 1
             if passes % CHECKPOINT_PASSES == 0:
                 state.checkpoint()
+                outdated, saved = saved, state
         bare = {m: Request(**{**r.__dict__, "add": None}) for m, r in requests.items()}
-        answer = state.map(lambda block: _serve(block, bare, layout)).treeReduce(_plus)
+
+        def divide(block: Block) -> Iterator[tuple]:
+            for m, (hist, loss) in _serve(block, bare, shared.value).items():
+                for i, (a, b) in enumerate(parts if hist is not None else parts[:1]):
+                    yield (m, i), (None if hist is None else hist[:, :, ends[a] : ends[b]], loss)
+
+        def search(item: tuple) -> tuple:
+            (m, i), (hist, loss) = item
+            return (m, i), None if hist is None else _search(hist, bare[m], shared.value, *parts[i]), loss
+
+        places = {(m, i): m * len(parts) + i for m in numbers for i in range(len(parts))}
+        met = state.flatMap(divide).reduceByKey(_sum, len(places), lambda key: places[key]).map(search)
+        answer: dict[int, tuple] = {}
+        for (m, _), found, loss in sorted(met.collect(), key=lambda r: r[0]):  # a split per node and part
+            answer[m] = (found if m not in answer else _better(answer[m][0], found), loss)
         if before is not None:
             before.unpersist()
+        if outdated is not None:
+            remove(spark, outdated.getCheckpointFile())
         return answer
 
     try:
-        return run_growers({m: grow(models[m], layout, scale, patience) for m in numbers}, one_pass)
+        return run_growers({m: grow(models[m], layout, scale, patience, True) for m in numbers}, one_pass)
     finally:
         state.unpersist()
+        shared.unpersist()
 
 
 def fit_models(train: DataFrame, features: list[str], models: list[BoostParams], weight: str | None = None,
                validation: DataFrame | None = None, patience: int | None = 50, bins: int = 64,
-               block_rows: int = BLOCK_ROWS) -> list[BoostedModel]:
+               block_rows: int = BLOCK_ROWS, task_rows: int = TASK_ROWS) -> list[BoostedModel]:
     """Fit several models together on one binned table.
 
     `train` has the features and `label` (0, 1, 2); null weights count as 1. With `validation` a model
-    ends after `patience` rounds without a smaller loss there. A null or NaN feature is an error. Without
+    ends after `patience` rounds without a smaller loss there. More than `task_rows` rows are divided
+    among tasks, with a job per pass; the trees are the same. A null or NaN feature is an error. Without
     rows every class gets a third.
     """
     data = train.withColumn("_holdout", F.lit(False))
@@ -519,7 +635,7 @@ def fit_models(train: DataFrame, features: list[str], models: list[BoostParams],
         return [BoostedModel(tuple(features), layout, ()) for _ in models]
     # Whole numbers so small that sums of all rows stay below 2^52 and are exact in doubles.
     scale = 2.0 ** min(40, 51 - math.ceil(math.log2(max(rows * largest, 1))))
-    way = _in_tasks if rows <= block_rows else _in_passes
+    way = _in_tasks if rows <= task_rows else _in_passes
     found = way(blocks, layout, models, scale, patience if validation is not None else None)
     return [BoostedModel(tuple(features), layout, tuple(found[m])) for m in range(len(models))]
 
@@ -537,10 +653,11 @@ class BoostedModel:
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """Classes by rows, from features by rows."""
         bins = np.array([self.layout.bins(f, v) for f, v in enumerate(x)], np.uint8).reshape(len(x), -1)
-        margins = np.zeros((K, bins.shape[1]))
+        bins = np.ascontiguousarray(bins.T)
+        margins = np.zeros((K, len(bins)))
         for trees in self.rounds:
             for c in range(K):
-                margins[c] += trees.value[c][_leaves(bins, trees, c)]
+                margins[c] += trees.value[c].take(_leaves(bins, trees, c))
         return softmax(margins)
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:

@@ -149,3 +149,58 @@ def test_gaps_constants_and_no_rows(spark):
     assert all((t.feature == -1).all() for t in model.rounds)
     (model,) = boosting.fit_models(df.where("false"), NAMES, [params])
     assert {(r.p_long, r.p_none) for r in model.transform(df).collect()} == {(1 / 3, 1 / 3)}
+
+
+WAYS = [BoostParams(max_depth=3, rounds=4, learning_rate=0.3), BoostParams(max_depth=1, rounds=9, row_share=0.6),
+        BoostParams(max_depth=5, rounds=12, row_share=0.5, column_share=0.6, min_child_weight=1, seed=1)]
+
+
+def test_more_rows_than_a_block_need_no_job_per_pass(spark, monkeypatch):
+    """Several blocks in a task per model: the same trees as one block."""
+    def many_jobs(*_):
+        raise AssertionError("a job per pass")
+
+    monkeypatch.setattr(boosting, "_in_passes", many_jobs)
+    df, val = table(spark), table(spark, 120, 8)
+    whole = boosting.fit_models(df, NAMES, WAYS, "weight", val, patience=2, bins=16)
+    cut = boosting.fit_models(df, NAMES, WAYS, "weight", val, patience=2, bins=16, block_rows=90)
+    assert all(map(same, whole, cut))
+
+
+def test_passes_send_splits_to_the_driver(spark, monkeypatch):
+    """A job per pass: the driver gets a split per node, no histograms, and grows the same trees."""
+    monkeypatch.setattr(boosting, "CHECKPOINT_PASSES", 2)
+    df, val, sent = table(spark), table(spark, 120, 8), []
+    run = boosting.run_growers
+
+    def watched(growers, one_pass):
+        def keep(requests):
+            answer = one_pass(requests)
+            sent.extend((found, requests[m].n_slots) for m, (found, _) in answer.items() if found is not None)
+            return answer
+
+        return run(growers, keep)
+
+    whole = boosting.fit_models(df, NAMES, WAYS, "weight", val, patience=2, bins=16)
+    monkeypatch.setattr(boosting, "run_growers", watched)
+    cut = boosting.fit_models(df, NAMES, WAYS, "weight", val, patience=2, bins=16, block_rows=90, task_rows=0)
+    assert all(map(same, whole, cut)) and sent
+    assert all(sum(np.size(part) for part in found) == 6 * nodes for found, nodes in sent)
+
+
+def test_shared_columns_add_up_to_every_bin():
+    """Rare values share columns; with the most frequent bins refilled no value is lost."""
+    rng = np.random.default_rng(4)
+    bins = np.array([rng.integers(0, 9, 300), rng.random(300) < .1, rng.random(300) < .2, np.zeros(300),
+                     np.where(rng.random(300) < .8, 2, rng.integers(0, 4, 300))], np.uint8)
+    layout = boosting.Layout(tuple(np.arange(n, dtype=float) for n in (8, 1, 1, 0, 3)))
+    row = {"rows": 300, "bins": bins.tobytes(), "label": rng.integers(0, 3, 300).astype(np.int8).tobytes(),
+           "weight": np.ones(300).tobytes(), "key": np.arange(300).tobytes(), "holdout": np.zeros(300, bool).tobytes()}
+    block, scale = boosting.Block(row, 5, [0]), 2.0**40
+    request = boosting.Request(0, 0, BoostParams(row_share=1), scale, None, np.arange(3)[:, None], 3)
+    got = boosting.measure(block, 0, request, layout)
+    g, h, _ = block.terms[0]
+    for k, term in enumerate((g, h)):
+        for c in range(3):
+            want = np.concatenate([np.bincount(bins[f], term[c], n) for f, n in enumerate(layout.sizes)])
+            assert np.array_equal(got[k, c], want)
