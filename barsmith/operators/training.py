@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from barsmith.operators import balance, boosting, evaluation
@@ -110,10 +110,14 @@ def tune(train: DataFrame, validation: DataFrame, features: list[str],
     All models grow together on one binned table, a pass over the rows for each level of all of them.
     """
     weighted = balance.add_weights(train, balance.class_weights(train))
+
+    def score(model: BoostedModel) -> Row:
+        return evaluation.balanced_accuracy(evaluation.threshold_rule(model.transform(validation))).first()
+
+    models = boosting.fit_models(weighted, features, combinations, "weight")
+    scores = run_together([lambda m=m: score(m) for m in models]) if models else []
     results, best, best_score = [], None, 0.0
-    for i, model in enumerate(boosting.fit_models(weighted, features, combinations, "weight")):
-        decided = evaluation.threshold_rule(model.transform(validation))
-        row = evaluation.balanced_accuracy(decided).first()
+    for i, row in enumerate(scores):
         results.append({"combination": i, "balanced_accuracy": row["balanced_accuracy"],
                         "accuracy": row["accuracy"]})
         if row["balanced_accuracy"] > best_score:

@@ -636,14 +636,20 @@ def train_weighted_check(spark, folder):
     return _checked(_by_weighted(spark, folder), _threshold_rule())
 
 
+def _both(train: DataFrame, names: list[str]) -> tuple[training.BoostedModel, training.PipelineModel]:
+    """Both models at the same time: few tasks grow the boosted trees, the forest takes the other cores."""
+    boosted, forest = training.run_together(
+        [lambda: training.fit_boosted(train, names), lambda: training.fit_forest(train, names)])
+    return boosted, forest
+
+
 @register
 def train_ensemble(spark, folder):
     """Balance the training part, fit both models, evaluate the blend on the test part."""
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
     balanced = materialize(balance.oversample(train, names).rows, "balanced")
-    boosted = training.fit_boosted(balanced, names)
-    forest = training.fit_forest(balanced, names)
+    boosted, forest = _both(balanced, names)
     return evaluation.summary(training.score_ensemble(test, boosted, forest))
 
 
@@ -658,9 +664,8 @@ def _by_stored(spark, folder) -> DataFrame:
     """The blend of both models after saving and loading, and whether the fitted ones gave the same."""
     table, names = _model_table(spark, folder)
     train, _, test = _parts(table)
-    forest = training.fit_forest(train, names)
+    boosted, forest = _both(train, names)
     path = writers.save_model(forest, scratch(spark, "forest"))
-    boosted = training.fit_boosted(train, names)
     loaded = training.BoostedModel.load(boosted.save(scratch(spark, "boosted")))
     own = F.struct(*evaluation.PROBABILITIES, "predicted")
     fitted = training.score_ensemble(test, boosted, forest).select(*test.columns, own.alias("fitted"))
