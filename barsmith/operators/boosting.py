@@ -33,6 +33,9 @@ from barsmith.session import materialize, remove, shared_dir
 BLOCK_ROWS = 65_536
 #: Rows up to which a model's passes run in one task: a job for each pass takes longer than it saves.
 TASK_ROWS = 8 * BLOCK_ROWS
+#: Bins up to which features are joined, and the most combinations of a joint.
+NARROW = 16
+JOINT_CODES = 256
 #: Passes after which the blocks' margins are written to the shared folder.
 CHECKPOINT_PASSES = 100
 K = len(CLASSES)
@@ -159,50 +162,105 @@ class Block:
         self.key = np.frombuffer(row["key"], np.int64).view(np.uint64)
         self.holdout = np.frombuffer(row["holdout"], bool)
         self.margins = {m: np.zeros((K, n)) for m in models}
-        self.entries: tuple | None = None
+        self.entries: Columns | None = None
         self.places: dict[int, tuple[int, np.ndarray]] = {}
         self.terms: dict[int, tuple[np.ndarray, ...]] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"places": {}, "terms": {}}
 
-    def columns(self, layout: Layout) -> tuple[list[tuple], np.ndarray]:
-        """What histograms add up: columns of codes with a code per row, the number of codes, and the bins they
-        stand for; then the most frequent bins of rare features.
-
-        A feature whose values are spread is a column of its own. Of the others only values outside the most
-        frequent bin are kept; as a row has few of them, they share columns, as many as the fullest row needs.
-        """
+    def columns(self, layout: Layout) -> Columns:
         if self.entries is None:
-            made, rows, at, usual, bins_of = [], [], [], [], [np.empty(0, np.int64)]
-            width = 0
-            for f, (start, size) in enumerate(zip(layout.starts, layout.sizes)):
-                values = self.bins[:, f].astype(np.int64)
-                counts = np.bincount(values, minlength=size)
-                most = int(counts.argmax())
-                if 2 * counts[most] < len(values):
-                    made.append((values.astype(np.uint8), int(size), slice(start, start + size)))
-                    continue
-                other = np.flatnonzero(values != most)
-                rows.append(other)
-                at.append(width + values[other])
-                usual.append(start + most)
-                bins_of.append(np.arange(start, start + size))
-                width += int(size)
-            row = np.concatenate([*rows, np.empty(0, np.int64)])
-            code = np.concatenate([*at, np.empty(0, np.int64)])
-            order = np.argsort(row, kind="stable")
-            row, code = row[order], code[order]
-            per_row = np.bincount(row, minlength=len(self.label))
-            nth = np.arange(len(row)) - (np.cumsum(per_row) - per_row)[row]
-            for k in range(int(per_row.max(initial=0))):
-                own, column = nth == k, np.full(len(self.label), width)  # the last code stands for no value
-                column[row[own]] = code[own]
-                made.append((column.astype(np.min_scalar_type(width)), width + 1, np.concatenate(bins_of)))
-            self.entries = made, np.array(usual, np.int64)
+            joints = [_Joint([f], v.astype(np.int64), np.arange(layout.sizes[f])[:, None])
+                      for f, v in enumerate(self.bins.T) if layout.sizes[f] > NARROW]
+            self.entries = _share([*joints, *_joined(self.bins, layout)], len(self.label), layout)
         return self.entries
 
 
+@dataclass
+class _Joint:
+    """Features counted together: the code of every row, and each code's bin per feature."""
+
+    features: list[int]
+    codes: np.ndarray
+    bins: np.ndarray
+
+
+@dataclass
+class Columns:
+    """What histograms add up: columns with a code per row; of each the number of codes, the joint codes they stand
+    for and, if it has one joint, its features; then the joints' places and the most frequent codes of rare ones."""
+
+    codes: np.ndarray  # rows by columns
+    made: list[tuple[int, slice | np.ndarray, list[int] | None]]
+    starts: np.ndarray
+    usual: np.ndarray
+    usual_of: np.ndarray
+    to_bins: list[tuple[slice, np.ndarray, np.ndarray | None]]
+    width: int
+
+
+def _joined(bins: np.ndarray, layout: Layout) -> list[_Joint]:
+    """Narrow features joined as long as few of their combinations occur, like the flags of one category."""
+    found: list[_Joint] = []
+    for f in np.flatnonzero(layout.sizes <= NARROW):
+        size, values = int(layout.sizes[f]), bins[:, f].astype(np.int64)
+        for joint in found:
+            both = joint.codes * size + values
+            occurs = np.flatnonzero(np.bincount(both, minlength=len(joint.bins) * size))
+            if len(occurs) <= JOINT_CODES:
+                place = np.zeros(len(joint.bins) * size, np.int64)
+                place[occurs] = np.arange(len(occurs))
+                joint.codes = place.take(both)
+                joint.bins = np.column_stack([joint.bins[occurs // size], occurs % size])
+                joint.features.append(int(f))
+                break
+        else:
+            found.append(_Joint([int(f)], values, np.arange(size)[:, None]))
+    return found
+
+
+def _share(joints: list[_Joint], n: int, layout: Layout) -> Columns:
+    """A joint whose codes are spread is a column of its own. Of the others only codes outside the most frequent
+    one are kept; as a row has few of them, they share columns, as many as the fullest row needs."""
+    columns, made, rows, at, usual, usual_of, codes_of, to_bins = [], [], [], [], [], [], [np.empty(0, np.int64)], []
+    sizes = np.array([len(j.bins) for j in joints], np.int64)
+    starts, width = np.cumsum(sizes) - sizes, 0
+    for i, (joint, start, size) in enumerate(zip(joints, starts.tolist(), sizes.tolist())):
+        places = np.concatenate([np.arange(layout.sizes[f]) + layout.starts[f] for f in joint.features])
+        table = None
+        if len(joint.features) > 1:  # which bins a code stands for, a one per feature
+            table = np.concatenate([joint.bins[:, k, None] == np.arange(layout.sizes[f])
+                                    for k, f in enumerate(joint.features)], axis=1).astype(float)
+        to_bins.append((slice(start, start + size), places, table))
+        counts = np.bincount(joint.codes, minlength=size)
+        most = int(counts.argmax())
+        if 2 * counts[most] < n:
+            columns.append(joint.codes.astype(np.min_scalar_type(size - 1)))
+            made.append((size, slice(start, start + size), joint.features))
+            continue
+        other = np.flatnonzero(joint.codes != most)
+        rows.append(other)
+        at.append(width + joint.codes[other])
+        usual.append(start + most)
+        usual_of.append(i)
+        codes_of.append(np.arange(start, start + size))
+        width += size
+    row = np.concatenate([*rows, np.empty(0, np.int64)])
+    code = np.concatenate([*at, np.empty(0, np.int64)])
+    order = np.argsort(row, kind="stable")
+    row, code = row[order], code[order]
+    per_row = np.bincount(row, minlength=n)
+    nth = np.arange(len(row)) - (np.cumsum(per_row) - per_row)[row]
+    for k in range(int(per_row.max(initial=0))):
+        own, column = nth == k, np.full(n, width)  # the last code stands for no value
+        column[row[own]] = code[own]
+        columns.append(column.astype(np.min_scalar_type(width)))
+        made.append((width + 1, np.concatenate(codes_of), None))
+    codes = np.stack(columns, axis=1) if columns else np.empty((n, 0), np.uint8)
+    return Columns(codes, made, starts, np.array(usual, np.int64), np.array(usual_of, np.int64), to_bins, int(sizes.sum()))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
@@ -253,6 +311,7 @@ class Request:
     n_slots: int = 0
     add: Trees | None = None
     classes: np.ndarray | None = None  # of each slot
+    allowed: np.ndarray | None = None  # per class and feature: whether bins are needed, else only the sum of all
 
 
 class Steps:
@@ -319,29 +378,47 @@ def measure(block: Block, model: int, request: Request, layout: Layout) -> np.nd
     for _ in range(level, request.level):
         places = np.array([Steps(request.trees, c).descend(places[c], block.bins, starts) for c in range(K)])
     block.places[model] = request.level, places
-    columns, usual = block.columns(layout)
-    first = (1 << request.level) - 1
-    chosen, slots = [], []
-    for c in range(K):
-        slot = np.concatenate([np.full(first, -1), request.slots[c]]).take(places[c])  # of any node down to the level
-        chosen.append(np.flatnonzero((slot >= 0) & use))
-        slots.append(slot.take(chosen[c]))
-    rows, slot = np.concatenate(chosen), np.concatenate(slots)
-    terms = [np.concatenate([term[c].take(chosen[c]) for c in range(K)]) for term in (g, h)]
-    sums = np.array([np.bincount(slot, term, request.n_slots) for term in terms])
+    columns, first = block.columns(layout), (1 << request.level) - 1
     out = np.zeros((2, request.n_slots, total))
+    for c in range(K):
+        own = np.flatnonzero(request.slots[c] >= 0)
+        local = np.full(first + len(request.slots[c]), -1)  # of any node down to the level
+        local[first + own] = np.arange(len(own))
+        slot = local.take(places[c])
+        rows = np.flatnonzero((slot >= 0) & use)
+        slot, term = slot.take(rows), np.empty(len(rows), complex)  # one addition for both
+        term.real, term.imag = g[c].take(rows), h[c].take(rows)
+        needed = request.allowed[c] if request.allowed is not None else np.ones(len(layout.sizes), bool)
+        found = _bins_of_slots(columns, rows, slot, term, len(own), layout, needed)
+        out[0, request.slots[c][own]], out[1, request.slots[c][own]] = found.real, found.imag
+    return out
+
+
+def _bins_of_slots(columns: Columns, rows: np.ndarray, slot: np.ndarray, term: np.ndarray, n_slots: int,
+                   layout: Layout, needed: np.ndarray) -> np.ndarray:
+    """Sums of the terms per slot and bin. A feature that is not needed may have all in one bin."""
+    sums = np.zeros(n_slots, complex)
+    np.add.at(sums, slot, term)
+    by_code = np.zeros((n_slots, columns.width), complex)
     firsts: dict[int, np.ndarray] = {}
-    for column, width, bins in columns:
+    drawn_codes = columns.codes.take(rows, axis=0)
+    for i, (width, codes, features) in enumerate(columns.made):
+        if features is not None and not needed[features].any():
+            by_code[:, codes.start] = sums  # any code: each of its features then has all in one bin
+            continue
         if width not in firsts:
             firsts[width] = slot * width
-        code = column.take(rows) + firsts[width]
-        for k in range(2):
-            found = np.bincount(code, terms[k], request.n_slots * width).reshape(-1, width)
-            if isinstance(bins, slice):
-                out[k][:, bins] = found
-            else:
-                out[k][:, bins] += found[:, :-1]
-    out[:, :, usual] += sums[:, :, None] - np.add.reduceat(out, layout.starts, axis=2)[:, :, np.searchsorted(layout.starts, usual, "right") - 1]
+        found = np.zeros(n_slots * width, complex)
+        np.add.at(found, drawn_codes[:, i] + firsts[width], term)
+        if isinstance(codes, slice):
+            by_code[:, codes] = found.reshape(-1, width)
+        else:
+            by_code[:, codes] += found.reshape(-1, width)[:, :-1]
+    if len(columns.usual):
+        by_code[:, columns.usual] += sums[:, None] - np.add.reduceat(by_code, columns.starts, axis=1)[:, columns.usual_of]
+    out = np.zeros((n_slots, int(layout.sizes.sum())), complex)
+    for codes, places, table in columns.to_bins:
+        out[:, places] = by_code[:, codes] if table is None else by_code.real[:, codes] @ table + 1j * (by_code.imag[:, codes] @ table)
     return out
 
 
@@ -412,7 +489,7 @@ def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None
         trees, allowed = Trees.empty(params.max_depth), _columns(params, number, len(layout.sizes))
         nodes = np.array([(c, 0) for c in range(K)])  # class and place
         slots = np.arange(K)[:, None]
-        hist, loss = yield Request(number, 0, params, scale, None, slots, K, last, nodes[:, 0])
+        hist, loss = yield Request(number, 0, params, scale, None, slots, K, last, nodes[:, 0], allowed)
         if worse(loss):
             break
         for level in range(params.max_depth):
@@ -441,10 +518,10 @@ def grow(params: BoostParams, layout: Layout, scale: float, patience: int | None
             slots = np.full((K, 2 << level), -1)
             if searched:
                 slots[nodes[:, 0], nodes[:, 1] - ((2 << level) - 1)] = np.arange(len(nodes))
-                hist, _ = yield Request(number, level + 1, params, scale, trees, slots, len(nodes), None, nodes[:, 0])
+                hist, _ = yield Request(number, level + 1, params, scale, trees, slots, len(nodes), None, nodes[:, 0], allowed)
                 continue
             slots[c, 2 * at + 1 + light - ((2 << level) - 1)] = np.arange(len(split))
-            measured, _ = yield Request(number, level + 1, params, scale, trees, slots, len(split))
+            measured, _ = yield Request(number, level + 1, params, scale, trees, slots, len(split), allowed=allowed)
             parent = hist[:, split]
             pair = [measured, parent - measured]
             hist = np.concatenate([np.where((light[own] == k)[None, :, None], pair[0][:, own], pair[1][:, own])

@@ -204,3 +204,25 @@ def test_shared_columns_add_up_to_every_bin():
         for c in range(3):
             want = np.concatenate([np.bincount(bins[f], term[c], n) for f, n in enumerate(layout.sizes)])
             assert np.array_equal(got[k, c], want)
+
+
+def test_flags_of_one_category_are_one_column():
+    """Narrow features are counted by the combinations that occur; what no split may use needs no column."""
+    rng = np.random.default_rng(5)
+    kind, n = rng.integers(0, 40, 400), 42
+    bins = np.array([*(kind == k for k in range(40)), rng.integers(0, 3, 400), rng.integers(0, 30, 400)], np.uint8)
+    layout = boosting.Layout(tuple(np.arange(k, dtype=float) for k in (*[1] * 40, 2, 29)))
+    row = {"rows": 400, "bins": bins.tobytes(), "label": rng.integers(0, 3, 400).astype(np.int8).tobytes(),
+           "weight": np.ones(400).tobytes(), "key": np.arange(400).tobytes(), "holdout": np.zeros(400, bool).tobytes()}
+    block = boosting.Block(row, n, [0])
+    assert block.columns(layout).codes.shape == (400, 2)
+    allowed = np.ones((3, n), bool)
+    allowed[1, 41] = False
+    request = boosting.Request(0, 0, BoostParams(row_share=1), 2.0**40, None, np.arange(3)[:, None], 3, allowed=allowed)
+    got = boosting.measure(block, 0, request, layout)
+    for k, term in enumerate(block.terms[0][:2]):
+        for c in range(3):
+            want = [np.bincount(bins[f], term[c], size) for f, size in enumerate(layout.sizes)]
+            if c == 1:  # the sum of all rows is still there
+                want[41] = np.eye(30)[0] * term[c].sum()
+            assert np.array_equal(got[k, c], np.concatenate(want))
