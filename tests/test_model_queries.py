@@ -1,5 +1,7 @@
 """The model queries train with the published settings."""
 
+import threading
+
 import numpy as np
 import pytest
 
@@ -56,3 +58,36 @@ def test_a_constant_model_fails_the_check(spark, monkeypatch):
     assert got["sums_to_one"].all() and got["follows_rule"].all() and not got["beats_constant"].any()
     want = check.connect(SF).execute(contract.oracle_sql()["train_boost_check"]).df()
     assert len(got) == len(want) and check.difference(got, want) is not None
+
+
+def test_both_models_are_fitted_at_the_same_time(monkeypatch):
+    met = threading.Barrier(2)
+
+    def fit(name):
+        return lambda *_: met.wait(20) is not None and name
+
+    monkeypatch.setattr(training, "fit_boosted", fit("boosted"))
+    monkeypatch.setattr(training, "fit_forest", fit("forest"))
+    assert catalog._both(None, []) == ("boosted", "forest")
+
+
+def test_tuned_models_are_scored_at_the_same_time(monkeypatch):
+    met, scores = threading.Barrier(2), [0.4, 0.6]
+
+    class Model:
+        def __init__(self, place):
+            self.place = place
+
+        def transform(self, _):
+            return self
+
+        def first(self):
+            met.wait(20)
+            return {"balanced_accuracy": scores[self.place], "accuracy": 0.5}
+
+    monkeypatch.setattr(training.balance, "class_weights", lambda _: {})
+    monkeypatch.setattr(training.balance, "add_weights", lambda df, _: df)
+    monkeypatch.setattr(training.boosting, "fit_models", lambda *_: [Model(0), Model(1)])
+    monkeypatch.setattr(training.evaluation, "threshold_rule", lambda m: m)
+    monkeypatch.setattr(training.evaluation, "balanced_accuracy", lambda m: m)
+    assert [r["is_best"] for r in training.tune(None, None, [])] == [False, True]
