@@ -47,7 +47,7 @@ def build_scaler(spark: SparkSession, bars: DataFrame, output: str) -> ScalerMod
 @dataclass(frozen=True)
 class TrainingResult:
     boosted: training.BoostedModel
-    forest: PipelineModel
+    forest: PipelineModel | training.ForestModel
     rows: DataFrame
     summary: DataFrame
     trades: DataFrame
@@ -121,7 +121,7 @@ def score_exits(requests: DataFrame, snapshots: DataFrame, class_map: DataFrame,
     """
     models = registry.load_models(requests.sparkSession, model_folder)
 
-    def scorer(model: PipelineModel):
+    def scorer(model: PipelineModel | training.ForestModel):
         def score(df: DataFrame) -> DataFrame:
             p = evaluation.PROBABILITIES
             return training.forest_probabilities(model, df).withColumn(

@@ -23,7 +23,10 @@ def class_sizes(df: DataFrame, label: str = "label") -> dict[int, int]:
 
 def class_weights(df: DataFrame, label: str = "label") -> dict[int, float]:
     """Rows per class if all classes were equal, over the rows there are."""
-    sizes = class_sizes(df, label)
+    return weights_of(class_sizes(df, label))
+
+
+def weights_of(sizes: dict[int, int]) -> dict[int, float]:
     total = sum(sizes.values())
     return {c: total / (CLASS_COUNT * n) for c, n in sizes.items()}
 

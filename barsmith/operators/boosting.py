@@ -75,12 +75,12 @@ class Layout:
         return np.searchsorted(self.cuts[feature], values, "right").astype(np.uint8)
 
 
-def find_layout(df: DataFrame, features: list[str], bins: int = 64) -> Layout:
+def find_layout(df: DataFrame, features: list[str], bins: int = 64, accuracy: int = 10_000) -> Layout:
     """Quantile cuts of all features from one aggregation; equal quantiles make fewer bins."""
     if not 2 <= bins <= 256:
         raise ValueError("bins must fit into a byte")
     at = [i / bins for i in range(1, bins)] + [1.0]
-    found = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), at, 10_000).alias(f"q{i}")
+    found = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), at, accuracy).alias(f"q{i}")
                      for i, c in enumerate(features)],
                    *[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(features)]).first()
     cuts = []
@@ -719,6 +719,24 @@ def fit_models(train: DataFrame, features: list[str], models: list[BoostParams],
 
 # --- the model ----------------------------------------------------------------------------
 
+def scored(model: BoostedModel, df: DataFrame, prefix: str = "") -> DataFrame:
+    """The rows with a probability per class, from any model with `features` and `probabilities`."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    names, columns = list(model.features), [prefix + p for p in PROBABILITIES]
+    places = [df.columns.index(c) for c in names]
+    kept = [c for c in df.columns if c not in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = feature_matrix([batch.column(i) for i in places], names)
+            p = shared.value.probabilities(x)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(c)) for c in kept), *map(pa.array, p)], names=[*kept, *columns])
+
+    schema = ", ".join(f"`{n}` {k}" for n, k in df.select(*[f"`{c}`" for c in kept]).dtypes)
+    return df.mapInArrow(run, ", ".join([schema, *(f"`{c}` double" for c in columns)]))
+
+
 @dataclass(frozen=True)
 class BoostedModel:
     """Trees of all rounds; transforms to three probabilities."""
@@ -739,20 +757,7 @@ class BoostedModel:
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
         """The rows with a probability per class; the model is sent to every executor once."""
-        shared = df.sparkSession.sparkContext.broadcast(self)
-        names, columns = list(self.features), [prefix + p for p in PROBABILITIES]
-        places = [df.columns.index(c) for c in names]
-        kept = [c for c in df.columns if c not in columns]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x = feature_matrix([batch.column(i) for i in places], names)
-                p = shared.value.probabilities(x)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(batch.schema.get_field_index(c)) for c in kept), *map(pa.array, p)], names=[*kept, *columns])
-
-        schema = ", ".join(f"`{n}` {k}" for n, k in df.select(*[f"`{c}`" for c in kept]).dtypes)
-        return df.mapInArrow(run, ", ".join([schema, *(f"`{c}` double" for c in columns)]))
+        return scored(self, df, prefix)
 
     def save(self, path: str) -> str:
         """Trees and cuts as two Parquet tables."""

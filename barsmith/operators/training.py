@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -13,18 +12,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from barsmith.operators import balance, boosting, evaluation
+from barsmith.operators import balance, boosting, evaluation, forest
 from barsmith.operators.boosting import BoostedModel, BoostParams
 from barsmith.operators.evaluation import CLASSES, PROBABILITIES
+from barsmith.operators.forest import ForestModel, ForestParams
 from barsmith.session import scratch, shared_dir
 
 
-@dataclass(frozen=True)
-class ForestParams:
-    trees: int = 200
-    max_depth: int = 12
-    min_leaf_rows: int = 2
-    seed: int = 42
+#: Rows up to which a forest is Spark's: beyond that its numbers per row and tree fill memory.
+SPARK_FOREST_ROWS = 65_536
 
 
 # Depth, learning rate, rounds, smallest child, row share, column share.
@@ -72,22 +68,29 @@ def fit_weighted(train: DataFrame, validation: DataFrame, features: list[str],
 
 
 def fit_forest(train: DataFrame, features: list[str],
-               params: ForestParams = ForestParams()) -> PipelineModel:
-    """Random forest with balanced class weights, as a pipeline with its assembler."""
+               params: ForestParams = ForestParams(), spark_rows: int = SPARK_FOREST_ROWS) -> PipelineModel | ForestModel:
+    """Random forest with balanced class weights, as a pipeline with its assembler; of more than ``spark_rows``
+    rows one on binned rows."""
+    sizes = balance.class_sizes(train)
+    weights = balance.weights_of(sizes)
+    if sum(sizes.values()) > spark_rows and set(sizes) <= set(CLASSES):
+        return forest.fit(train, features, weights, params)
     _allow_checkpoints(train)
-    weighted = balance.add_weights(train, balance.class_weights(train))
+    weighted = balance.add_weights(train, weights)
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    forest = RandomForestClassifier(
+    classifier = RandomForestClassifier(
         labelCol="label", featuresCol="features", weightCol="weight", numTrees=params.trees,
         maxDepth=params.max_depth, minInstancesPerNode=params.min_leaf_rows,
         featureSubsetStrategy="sqrt", seed=params.seed, cacheNodeIds=True,
     )
     data = weighted.withColumn("label", F.col("label").cast("double"))
-    return Pipeline(stages=[assembler, forest]).fit(data)
+    return Pipeline(stages=[assembler, classifier]).fit(data)
 
 
-def forest_probabilities(model: PipelineModel, df: DataFrame, prefix: str = "") -> DataFrame:
+def forest_probabilities(model: PipelineModel | ForestModel, df: DataFrame, prefix: str = "") -> DataFrame:
     """Three probability columns; classes the model never saw get 0."""
+    if isinstance(model, ForestModel):
+        return model.transform(df, prefix)
     scored = model.transform(df)
     p = vector_to_array("probability")
     return scored.select(
@@ -97,9 +100,9 @@ def forest_probabilities(model: PipelineModel, df: DataFrame, prefix: str = "")
     )
 
 
-def score_ensemble(df: DataFrame, boosted: BoostedModel, forest: PipelineModel) -> DataFrame:
+def score_ensemble(df: DataFrame, boosted: BoostedModel, forest_model: PipelineModel | ForestModel) -> DataFrame:
     """Both models' probabilities, their blend and the decision."""
-    both = forest_probabilities(forest, boosted.transform(df, "boost_"), "forest_")
+    both = forest_probabilities(forest_model, boosted.transform(df, "boost_"), "forest_")
     return evaluation.blend(both)
 
 

@@ -636,7 +636,7 @@ def train_weighted_check(spark, folder):
     return _checked(_by_weighted(spark, folder), _threshold_rule())
 
 
-def _both(train: DataFrame, names: list[str]) -> tuple[training.BoostedModel, training.PipelineModel]:
+def _both(train: DataFrame, names: list[str]) -> tuple[training.BoostedModel, training.PipelineModel | training.ForestModel]:
     """Both models at the same time: few tasks grow the boosted trees, the forest takes the other cores."""
     boosted, forest = training.run_together(
         [lambda: training.fit_boosted(train, names), lambda: training.fit_forest(train, names)])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
-from barsmith.sources.writers import save_model
+from barsmith.operators.forest import ForestModel
+from barsmith.sources.writers import load_model, save_model
 
 Key = tuple[str, str, int]
 
@@ -23,7 +24,7 @@ def parse_name(name: str) -> Key | None:
     return parts[0], parts[1], int(parts[2])
 
 
-def register_model(model: PipelineModel, folder: str, key: Key) -> str:
+def register_model(model: PipelineModel | ForestModel, folder: str, key: Key) -> str:
     return save_model(model, f"{folder.rstrip('/')}/{model_name(key)}")
 
 
@@ -38,6 +39,6 @@ def list_models(spark: SparkSession, folder: str) -> dict[Key, str]:
     return {k: p for k, p in found.items() if k is not None}
 
 
-def load_models(spark: SparkSession, folder: str) -> dict[Key, PipelineModel]:
+def load_models(spark: SparkSession, folder: str) -> dict[Key, PipelineModel | ForestModel]:
     """Every model of an asset, loaded once for all requests."""
-    return {k: PipelineModel.load(p) for k, p in list_models(spark, folder).items()}
+    return {k: load_model(p) for k, p in list_models(spark, folder).items()}

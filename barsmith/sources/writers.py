@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from barsmith.operators.forest import ForestModel
 from barsmith.operators.scaler import ScalerModel
 
 
@@ -47,12 +48,18 @@ def write_exports(bars: DataFrame, trades: DataFrame, folder: str, symbol: str,
     )
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: PipelineModel | ForestModel, path: str) -> str:
+    if isinstance(model, ForestModel):
+        return model.save(path)
     model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | ForestModel:
+    spark = SparkSession.getActiveSession()
+    trees = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/forest")
+    if trees.getFileSystem(spark._jsc.hadoopConfiguration()).exists(trees):
+        return ForestModel.load(path)
     return PipelineModel.load(path)
 
 
