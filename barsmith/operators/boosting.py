@@ -12,30 +12,49 @@ for any number of blocks and any order of tasks. Which rows and columns a tree s
 Several models grow in step: a pass serves all of them. Margins stay with the blocks; a pass that starts a
 round first adds the trees of the round before. A lost executor's blocks are read and updated again. Up to
 TASK_ROWS rows a job per pass would take longer than the pass, and the same passes run inside a task per model.
+
+More rows are divided among the tasks of one barrier stage that stay until the end. Each keeps its rows, and for a
+pass the tasks exchange their sums through files of the shared folder, so that every one grows the same trees. Where
+that cannot be (a store that is no file system, executors that come and go, too many rows), each pass is a job.
 """
 
 from __future__ import annotations
 
 import math
+import os
+import pickle
+import time
+import uuid
 from collections.abc import Callable, Generator, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.operators.evaluation import CLASSES, PROBABILITIES
-from barsmith.session import materialize, remove, shared_dir
+from barsmith.session import materialize, remove, scratch, shared_dir
 
 #: Rows of a block.
 BLOCK_ROWS = 65_536
 #: Rows up to which a model's passes run in one task: a job for each pass takes longer than it saves.
 TASK_ROWS = 8 * BLOCK_ROWS
+#: Rows from which tasks of one stage exchange their sums, the most such tasks (each reads what all wrote), and the
+#: bytes of rows that one of them holds.
+GROUP_ROWS = TASK_ROWS
+GROUP_TASKS = 16
+GROUP_BYTES = 768 << 20
+#: Seconds until such tasks must see each other's files, and that one waits for another's pass.
+SEEN_SECONDS, PASS_SECONDS = 60, 900
 #: Bins up to which features are joined, and the most combinations of a joint.
 NARROW = 16
 JOINT_CODES = 256
+#: Nodes of a level up to which rows are compared with each node in turn, and the rows per node that repay it.
+SCANNED = 48
+SCANNED_ROWS = 256
 #: Passes after which the blocks' margins are written to the shared folder.
 CHECKPOINT_PASSES = 100
 K = len(CLASSES)
@@ -107,8 +126,8 @@ _BLOCK = "part long, rows long, bins binary, label binary, weight binary, key bi
 
 
 def store_blocks(df: DataFrame, features: list[str], layout: Layout, weight: str | None,
-                 block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int, float]:
-    """Binned blocks of all rows, their number of rows and largest weight.
+                 block_rows: int = BLOCK_ROWS, tasks: int = 1) -> tuple[DataFrame, int, float]:
+    """Binned blocks of all rows, their number of rows and largest weight. Many blocks are dealt evenly to `tasks`.
 
     `df` has features, label and _holdout. A row's key for sampling is a hash of what it holds, so equal
     rows are drawn together.
@@ -119,6 +138,8 @@ def store_blocks(df: DataFrame, features: list[str], layout: Layout, weight: str
     rows = rows.withColumn("key", F.xxhash64(*rows.columns))
     size = rows.agg(F.count("*").alias("n"), F.max("weight").alias("w")).first()
     parts = max(1, math.ceil(size["n"] / block_rows))
+    if parts > tasks:
+        parts = tasks * math.ceil(parts / tasks)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -127,7 +148,7 @@ def store_blocks(df: DataFrame, features: list[str], layout: Layout, weight: str
             bins, label, weights, key, holdout = (np.concatenate(a, axis=-1) for a in zip(*held))
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([0]), pa.array([len(label)]), *(pa.array([a.tobytes()], pa.binary()) for a in (
+                [pa.array([TaskContext.get().partitionId()]), pa.array([len(label)]), *(pa.array([a.tobytes()], pa.binary()) for a in (
                     bins, label.astype(np.int8), weights, key, holdout))],
                 names=["part", "rows", "bins", "label", "weight", "key", "holdout"])
 
@@ -155,24 +176,24 @@ class Block:
 
     def __init__(self, row: dict, n_features: int, models: Iterable[int]):
         n = row["rows"]
-        # Row by row, so that the values a row is asked for on its way down a tree lie together.
-        self.bins = np.ascontiguousarray(np.frombuffer(row["bins"], np.uint8).reshape(n_features, n).T)
+        self.bins = np.frombuffer(row["bins"], np.uint8).reshape(n_features, n)
         self.label = np.frombuffer(row["label"], np.int8)
         self.weight = np.frombuffer(row["weight"], float)
         self.key = np.frombuffer(row["key"], np.int64).view(np.uint64)
         self.holdout = np.frombuffer(row["holdout"], bool)
         self.margins = {m: np.zeros((K, n)) for m in models}
         self.entries: Columns | None = None
-        self.places: dict[int, tuple[int, np.ndarray]] = {}
+        self.places: dict[int, tuple[int, list[np.ndarray]]] = {}
         self.terms: dict[int, tuple[np.ndarray, ...]] = {}
+        self.used: dict[int, np.ndarray] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"places": {}, "terms": {}}
+        return self.__dict__ | {"places": {}, "terms": {}, "used": {}}
 
     def columns(self, layout: Layout) -> Columns:
         if self.entries is None:
             joints = [_Joint([f], v.astype(np.int64), np.arange(layout.sizes[f])[:, None])
-                      for f, v in enumerate(self.bins.T) if layout.sizes[f] > NARROW]
+                      for f, v in enumerate(self.bins) if layout.sizes[f] > NARROW]
             self.entries = _share([*joints, *_joined(self.bins, layout)], len(self.label), layout)
         return self.entries
 
@@ -204,7 +225,7 @@ def _joined(bins: np.ndarray, layout: Layout) -> list[_Joint]:
     """Narrow features joined as long as few of their combinations occur, like the flags of one category."""
     found: list[_Joint] = []
     for f in np.flatnonzero(layout.sizes <= NARROW):
-        size, values = int(layout.sizes[f]), bins[:, f].astype(np.int64)
+        size, values = int(layout.sizes[f]), bins[f].astype(np.int64)
         for joint in found:
             both = joint.codes * size + values
             occurs = np.flatnonzero(np.bincount(both, minlength=len(joint.bins) * size))
@@ -314,43 +335,50 @@ class Request:
     allowed: np.ndarray | None = None  # per class and feature: whether bins are needed, else only the sum of all
 
 
-class Steps:
-    """A class's tree as tables: where a node looks, what it compares with, and its left child or itself."""
-
-    def __init__(self, trees: Trees, c: int):
-        inner = trees.feature[c] >= 0
-        self.feature = np.where(inner, trees.feature[c], 0).astype(np.int64)
-        self.split = np.where(inner, trees.split[c], 255).astype(np.uint8)
-        self.left = np.where(inner, 2 * np.arange(len(inner)) + 1, np.arange(len(inner)))
+def _start(n: int, trees: Trees) -> np.ndarray:
+    """All rows at the root, in the narrowest numbers that hold every node."""
+    return np.zeros(n, np.min_scalar_type(trees.feature.shape[1]))
 
-    def descend(self, place: np.ndarray, bins: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """One level down; `starts` is where each row begins in the flat `bins`. Leaves stay."""
-        value = bins.take(starts + self.feature.take(place))
-        return self.left.take(place) + (value > self.split.take(place))
 
+def _descend(place: np.ndarray, level: int, trees: Trees, c: int, bins: np.ndarray) -> np.ndarray:
+    """One level down for rows that stand on `level` or on a leaf above. Leaves stay.
 
-def _row_starts(bins: np.ndarray) -> np.ndarray:
-    return np.arange(len(bins)) * bins.shape[1]
+    Whole columns of `bins`, a row per feature, are compared for each node: with few nodes and many rows that is
+    faster than to look up each row's node and value."""
+    first = (1 << level) - 1
+    inner = first + np.flatnonzero(trees.feature[c, first : 2 * first + 1] >= 0)
+    if len(inner) > min(SCANNED, len(place) // SCANNED_ROWS):
+        at = place.astype(np.intp)
+        feature, split = trees.feature[c].astype(np.intp).take(at), trees.split[c].take(at)
+        value = bins.reshape(-1).take(np.maximum(feature, 0) * len(at) + np.arange(len(at)))
+        return np.where(feature >= 0, 2 * place + 1 + (value > split), place)
+    down, right = np.zeros(len(place), bool), np.zeros(len(place), bool)
+    for i, feature, split in zip(inner.tolist(), trees.feature[c, inner].tolist(), trees.split[c, inner].tolist()):
+        here = place == i
+        down |= here
+        here &= bins[feature] > split
+        right |= here
+    return np.where(down, 2 * place + 1 + right, place)
 
 
 def _leaves(bins: np.ndarray, trees: Trees, c: int) -> np.ndarray:
-    """The end of every row, given row by row, in the tree of a class."""
-    place, steps, starts = np.zeros(len(bins), np.int64), Steps(trees, c), _row_starts(bins)
-    for _ in range((trees.feature.shape[1] + 1).bit_length() - 2):
-        place = steps.descend(place, bins, starts)
+    """The end of every row in the tree of a class; `bins` has a row per feature."""
+    place = _start(bins.shape[1], trees)
+    for level in range((trees.feature.shape[1] + 1).bit_length() - 2):
+        place = _descend(place, level, trees, c, bins)
     return place
 
 
 def add_trees(block: Block, model: int, trees: Trees) -> None:
-    at_end, starts = block.places.get(model), _row_starts(block.bins)
+    at_end = block.places.get(model)
     for c in range(K):
         if at_end is None:
             leaf = _leaves(block.bins, trees, c)
         else:  # rows stand on the last measured level, and no branch goes deeper than one below it
-            leaf = Steps(trees, c).descend(at_end[1][c], block.bins, starts)
-        block.margins[model][c] += trees.value[c].take(leaf)
-    block.places.pop(model, None)
-    block.terms.pop(model, None)
+            leaf = _descend(at_end[1][c], at_end[0], trees, c, block.bins)
+        block.margins[model][c] += trees.value[c].take(leaf.astype(np.intp))
+    for kept in (block.places, block.terms, block.used):
+        kept.pop(model, None)
 
 
 def loss_of(block: Block, model: int) -> tuple[int, int]:
@@ -364,33 +392,43 @@ def loss_of(block: Block, model: int) -> tuple[int, int]:
 
 def measure(block: Block, model: int, request: Request, layout: Layout) -> np.ndarray:
     """Sums of both derivatives per slot and bin, as whole numbers."""
-    params, total = request.params, int(layout.sizes.sum())
+    params, n = request.params, len(block.label)
     if model not in block.terms:
         p = softmax(block.margins[model])
         g = p.copy()
-        g[block.label.astype(int), np.arange(g.shape[1])] -= 1
+        g[block.label.astype(int), np.arange(n)] -= 1
         h = np.maximum(2 * p * (1 - p), 1e-16)
+        both = np.empty((K, n), complex)  # one addition for both
+        np.rint(g * block.weight * request.scale, out=both.real)
+        np.rint(h * block.weight * request.scale, out=both.imag)
         use = drawn(block.key, params.seed, request.round, params.row_share) & ~block.holdout
-        block.terms[model] = np.rint(g * block.weight * request.scale), np.rint(h * block.weight * request.scale), use
-    g, h, use = block.terms[model]
-    level, places = block.places.get(model, (0, np.zeros((K, len(block.label)), np.int64)))
-    starts = _row_starts(block.bins)
-    for _ in range(level, request.level):
-        places = np.array([Steps(request.trees, c).descend(places[c], block.bins, starts) for c in range(K)])
+        block.terms[model], block.used[model] = (both.real, both.imag, use), both
+    use, both = block.terms[model][2], block.used[model]
+    level, places = block.places.get(model, (0, None))
+    if places is None:
+        places = [np.zeros(n, np.min_scalar_type((2 << params.max_depth) - 1))] * K
+    for above in range(level, request.level):
+        places = [_descend(places[c], above, request.trees, c, block.bins) for c in range(K)]
     block.places[model] = request.level, places
     columns, first = block.columns(layout), (1 << request.level) - 1
-    out = np.zeros((2, request.n_slots, total))
+    out = np.zeros((2, request.n_slots, int(layout.sizes.sum())))
     for c in range(K):
         own = np.flatnonzero(request.slots[c] >= 0)
+        if not len(own):
+            continue
         local = np.full(first + len(request.slots[c]), -1)  # of any node down to the level
         local[first + own] = np.arange(len(own))
-        slot = local.take(places[c])
-        rows = np.flatnonzero((slot >= 0) & use)
-        slot, term = slot.take(rows), np.empty(len(rows), complex)  # one addition for both
-        term.real, term.imag = g[c].take(rows), h[c].take(rows)
+        if len(own) > SCANNED:
+            here = local.take(places[c].astype(np.intp)) >= 0
+        else:
+            here = np.zeros(n, bool)
+            for i in (first + own).tolist():
+                here |= places[c] == i
+        here &= use
+        rows = np.flatnonzero(here)
+        slot, term = local.take(places[c].take(rows).astype(np.intp)), both[c].take(rows)
         needed = request.allowed[c] if request.allowed is not None else np.ones(len(layout.sizes), bool)
-        found = _bins_of_slots(columns, rows, slot, term, len(own), layout, needed)
-        out[0, request.slots[c][own]], out[1, request.slots[c][own]] = found.real, found.imag
+        out[:, request.slots[c][own]] = _bins_of_slots(columns, rows, slot, term, len(own), layout, needed)
     return out
 
 
@@ -416,9 +454,10 @@ def _bins_of_slots(columns: Columns, rows: np.ndarray, slot: np.ndarray, term: n
             by_code[:, codes] += found.reshape(-1, width)[:, :-1]
     if len(columns.usual):
         by_code[:, columns.usual] += sums[:, None] - np.add.reduceat(by_code, columns.starts, axis=1)[:, columns.usual_of]
-    out = np.zeros((n_slots, int(layout.sizes.sum())), complex)
+    out = np.zeros((2, n_slots, int(layout.sizes.sum())))
     for codes, places, table in columns.to_bins:
-        out[:, places] = by_code[:, codes] if table is None else by_code.real[:, codes] @ table + 1j * (by_code.imag[:, codes] @ table)
+        own = np.array([by_code.real[:, codes], by_code.imag[:, codes]])  # laid out for a fast product
+        out[:, :, places] = own if table is None else own @ table
     return out
 
 
@@ -606,6 +645,99 @@ def _in_tasks(blocks: DataFrame, layout: Layout, models: list[BoostParams], scal
     return found
 
 
+def _group_tasks(spark: SparkSession) -> int:
+    """Tasks that run at the same time and see the shared folder as files; 0 if they may not."""
+    context = spark.sparkContext
+    files = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getScheme() != "file" or context.getConf().get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 0
+    jvm = context._jsc.sc()
+    slots = jvm.maxNumConcurrentTasks(jvm.resourceProfileManager().defaultResourceProfile())
+    return min(slots, GROUP_TASKS) if slots > 1 else 0
+
+
+def _row_bytes(n_features: int, models: int) -> int:
+    """What a row takes in a task: bins twice while they are read, codes, label, weight and key, and of each model
+    margins, derivatives, places and what a pass makes of them."""
+    return 3 * n_features + 32 + 160 * models
+
+
+class Exchange:
+    """What every task of a stage has to say, turn by turn, in files of a folder they share."""
+
+    def __init__(self, folder: str, place: int, tasks: int):
+        self.folder, self.place, self.tasks, self.turn = folder, place, tasks, 0
+        os.makedirs(folder, exist_ok=True)
+
+    def _path(self, turn: int, place: int) -> str:
+        return os.path.join(self.folder, f"{turn}-{place}")
+
+    def __call__(self, said: object, seconds: float = PASS_SECONDS) -> list:
+        own = self._path(self.turn, self.place)
+        with open(f"{own}.part", "wb") as f:
+            pickle.dump(said, f, protocol=5)
+        os.replace(f"{own}.part", own)  # others see it whole or not at all
+        until, heard = time.monotonic() + seconds, []
+        for place in range(self.tasks):
+            path = self._path(self.turn, place)
+            while not os.path.exists(path):
+                if time.monotonic() > until:
+                    raise TimeoutError(f"task {self.place} waited {seconds} s for turn {self.turn} of task {place}")
+                time.sleep(0.0005)
+            with open(path, "rb") as f:
+                heard.append(pickle.load(f))
+        if self.turn:  # whoever writes a turn has read the one before
+            os.remove(self._path(self.turn - 1, self.place))
+        self.turn += 1
+        return heard
+
+
+def _in_group(blocks: DataFrame, layout: Layout, models: list[BoostParams], scale: float, patience: int | None,
+              tasks: int) -> dict[int, list[Trees]] | None:
+    """Many blocks: tasks of one stage hold some each and exchange sums; all grow the trees and the first returns
+    them. None if the tasks do not see each other's files. A lost task starts the stage again."""
+    numbers, n_features, spark = range(len(models)), len(layout.cuts), blocks.sparkSession
+    shared = spark.sparkContext.broadcast(layout)
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, "exchange"))
+    folder = target.toUri().getPath()
+
+    def train(rows: Iterator[dict]) -> Iterator[tuple]:
+        context, layout = BarrierTaskContext.get(), shared.value
+        attempt = context.allGather(uuid.uuid4().hex)[0]  # what a failed stage left is not read
+        place = context.partitionId()
+        own = [Block(row, n_features, numbers) for row in rows]
+        for block in own:
+            block.columns(layout)
+        try:
+            exchange = Exchange(os.path.join(folder, attempt), place, tasks)
+            exchange(None, SEEN_SECONDS)
+            seen = "yes"
+        except OSError:  # no such folder here, or another one than the others'
+            seen = "no"
+        if "no" in context.allGather(seen):
+            return
+
+        def one_pass(requests: dict[int, Request]) -> dict:
+            mine = reduce(_plus, (_serve(block, requests, layout) for block in own)) if own else {
+                m: (np.zeros((2, r.n_slots, int(layout.sizes.sum()))) if r.slots is not None else None, (0, 0))
+                for m, r in requests.items()}
+            return reduce(_plus, exchange(mine))
+
+        found = run_growers({m: grow(models[m], layout, scale, patience) for m in numbers}, one_pass)
+        if place == 0:
+            yield from found.items()
+
+    try:
+        dealt = blocks.rdd.map(lambda row: (row["part"] % tasks, row.asDict())).partitionBy(tasks, lambda place: place)
+        trained = dealt.values().barrier().mapPartitions(train)
+        # Behind a shuffle, as Spark starts a failed barrier stage again unless it is the last.
+        found = dict(trained.partitionBy(1, lambda model: 0).collect())  # trees, not rows of data
+    finally:
+        remove(spark, target.toString())
+        shared.unpersist()
+    return found if len(found) == len(models) else None
+
+
 def _slices(layout: Layout, parts: int) -> list[tuple[int, int]]:
     """Features in order, divided into parts of about as many bins."""
     turn = (layout.starts * parts) // max(int(layout.sizes.sum()), 1)
@@ -700,20 +832,27 @@ def fit_models(train: DataFrame, features: list[str], models: list[BoostParams],
 
     `train` has the features and `label` (0, 1, 2); null weights count as 1. With `validation` a model
     ends after `patience` rounds without a smaller loss there. More than `task_rows` rows are divided
-    among tasks, with a job per pass; the trees are the same. A null or NaN feature is an error. Without
+    among tasks, which exchange their sums or run in a job per pass; the trees are the same. A null or NaN feature is an error. Without
     rows every class gets a third.
     """
     data = train.withColumn("_holdout", F.lit(False))
     if validation is not None:
         data = data.unionByName(validation.withColumn("_holdout", F.lit(True)), allowMissingColumns=True)
     layout = find_layout(train, features, bins)
-    blocks, rows, largest = store_blocks(data, features, layout, weight, block_rows)
+    tasks = _group_tasks(train.sparkSession)
+    blocks, rows, largest = store_blocks(data, features, layout, weight, block_rows, max(tasks, 1))
     if not rows:
         return [BoostedModel(tuple(features), layout, ()) for _ in models]
     # Whole numbers so small that sums of all rows stay below 2^52 and are exact in doubles.
     scale = 2.0 ** min(40, 51 - math.ceil(math.log2(max(rows * largest, 1))))
-    way = _in_tasks if rows <= task_rows else _in_passes
-    found = way(blocks, layout, models, scale, patience if validation is not None else None)
+    given = blocks, layout, models, scale, patience if validation is not None else None
+    found = None
+    if rows <= task_rows:
+        found = _in_tasks(*given)
+    elif rows > GROUP_ROWS and tasks and rows * _row_bytes(len(features), len(models)) <= tasks * GROUP_BYTES:
+        found = _in_group(*given, tasks)
+    if found is None:
+        found = _in_passes(*given)
     return [BoostedModel(tuple(features), layout, tuple(found[m])) for m in range(len(models))]
 
 
@@ -748,11 +887,10 @@ class BoostedModel:
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """Classes by rows, from features by rows."""
         bins = np.array([self.layout.bins(f, v) for f, v in enumerate(x)], np.uint8).reshape(len(x), -1)
-        bins = np.ascontiguousarray(bins.T)
-        margins = np.zeros((K, len(bins)))
+        margins = np.zeros((K, bins.shape[1]))
         for trees in self.rounds:
             for c in range(K):
-                margins[c] += trees.value[c].take(_leaves(bins, trees, c))
+                margins[c] += trees.value[c].take(_leaves(bins, trees, c).astype(np.intp))
         return softmax(margins)
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
