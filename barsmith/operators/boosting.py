@@ -217,7 +217,7 @@ class Columns:
     starts: np.ndarray
     usual: np.ndarray
     usual_of: np.ndarray
-    to_bins: list[tuple[slice, np.ndarray, np.ndarray | None]]
+    to_bins: list[tuple[slice, slice | np.ndarray, np.ndarray | None]]
     width: int
 
 
@@ -248,9 +248,10 @@ def _share(joints: list[_Joint], n: int, layout: Layout) -> Columns:
     sizes = np.array([len(j.bins) for j in joints], np.int64)
     starts, width = np.cumsum(sizes) - sizes, 0
     for i, (joint, start, size) in enumerate(zip(joints, starts.tolist(), sizes.tolist())):
-        places = np.concatenate([np.arange(layout.sizes[f]) + layout.starts[f] for f in joint.features])
+        places = slice(layout.starts[joint.features[0]], layout.starts[joint.features[0]] + size)
         table = None
         if len(joint.features) > 1:  # which bins a code stands for, a one per feature
+            places = np.concatenate([np.arange(layout.sizes[f]) + layout.starts[f] for f in joint.features])
             table = np.concatenate([joint.bins[:, k, None] == np.arange(layout.sizes[f])
                                     for k, f in enumerate(joint.features)], axis=1).astype(float)
         to_bins.append((slice(start, start + size), places, table))
@@ -649,7 +650,7 @@ def _group_tasks(spark: SparkSession) -> int:
     """Tasks that run at the same time and see the shared folder as files; 0 if they may not."""
     context = spark.sparkContext
     files = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.getScheme() != "file" or context.getConf().get("spark.dynamicAllocation.enabled", "false") == "true":
+    if files.getScheme() != "file" or context.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
         return 0
     jvm = context._jsc.sc()
     slots = jvm.maxNumConcurrentTasks(jvm.resourceProfileManager().defaultResourceProfile())
@@ -695,7 +696,8 @@ class Exchange:
 def _in_group(blocks: DataFrame, layout: Layout, models: list[BoostParams], scale: float, patience: int | None,
               tasks: int) -> dict[int, list[Trees]] | None:
     """Many blocks: tasks of one stage hold some each and exchange sums; all grow the trees and the first returns
-    them. None if the tasks do not see each other's files. A lost task starts the stage again."""
+    them. None if the tasks do not see each other's files, or Spark makes more of them, which could not all run at
+    once. A lost task starts the stage again."""
     numbers, n_features, spark = range(len(models)), len(layout.cuts), blocks.sparkSession
     shared = spark.sparkContext.broadcast(layout)
     target = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, "exchange"))
@@ -729,6 +731,8 @@ def _in_group(blocks: DataFrame, layout: Layout, models: list[BoostParams], scal
 
     try:
         dealt = blocks.rdd.map(lambda row: (row["part"] % tasks, row.asDict())).partitionBy(tasks, lambda place: place)
+        if dealt.getNumPartitions() != tasks:
+            return None
         trained = dealt.values().barrier().mapPartitions(train)
         # Behind a shuffle, as Spark starts a failed barrier stage again unless it is the last.
         found = dict(trained.partitionBy(1, lambda model: 0).collect())  # trees, not rows of data

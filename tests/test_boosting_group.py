@@ -5,6 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from test_boosting import NAMES, WAYS, same, table
 
 from barsmith.operators import boosting
@@ -45,6 +46,16 @@ def test_else_a_pass_is_a_job(spark, monkeypatch, name, value):
     assert all(map(same, whole, cut))
 
 
+def test_more_tasks_than_can_run_take_passes(spark, monkeypatch):
+    """A session that deals keys to more partitions than asked for: no barrier stage that waits for ever."""
+    monkeypatch.setattr(boosting, "GROUP_ROWS", 0)
+    whole = boosting.fit_models(table(spark), NAMES, WAYS[:1], bins=16)
+    deal = RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n, *more: deal(self, max(n, 31), *more))
+    cut = boosting.fit_models(table(spark), NAMES, WAYS[:1], bins=16, block_rows=90, task_rows=0)
+    assert all(map(same, whole, cut))
+
+
 def test_too_many_rows_for_the_tasks_take_passes(spark, monkeypatch):
     monkeypatch.setattr(boosting, "GROUP_ROWS", 0)
     monkeypatch.setattr(boosting, "GROUP_BYTES", 1)
